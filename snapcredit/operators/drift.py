@@ -2,28 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from snapcredit.operators.aggregates import label_ratio
-from snapcredit.operators.ranks import running_counts, value_counts
+from snapcredit.operators.ranks import (
+    before_slice,
+    cut_aggregates,
+    cuts_of,
+    slice_count,
+    value_counts,
+    within_slice,
+)
 
 # Fixed value: keeps the logarithm finite for a bucket that is empty on one side.
 EPSILON = 1e-6
 SIDES = ("ref", "cur")
+COUNTS = ("n_ref", "n_cur")
+MOMENTS = {
+    "mean_train": ("ref", F.avg),
+    "mean_curr": ("cur", F.avg),
+    "std_train": ("ref", F.stddev_pop),
+    "std_curr": ("cur", F.stddev_pop),
+}
 
 
-def _both(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Both populations with 0/1 side weights; the features as doubles."""
+def _both(
+    reference: DataFrame, current: DataFrame, features: Sequence[str], extra: Mapping[str, Column] = {}
+) -> DataFrame:
+    """Both populations with 0/1 side weights and the features as doubles.
+
+    ``extra`` columns are taken from the current population only.
+    """
 
     def side(df: DataFrame, is_ref: int) -> DataFrame:
+        more = [F.lit(None).alias(n) if is_ref else c.alias(n) for n, c in extra.items()]
         return df.select(
             *[F.col(f).cast("double").alias(f) for f in features],
             F.lit(is_ref).alias("n_ref"),
             F.lit(1 - is_ref).alias("n_cur"),
+            *more,
         )
 
     return side(reference, 1).unionByName(side(current, 0))
@@ -33,23 +53,36 @@ def _of(side: str, column: str) -> Column:
     return F.when(F.col(f"n_{side}") == 1, F.col(column))
 
 
+def _per_feature(cases: Mapping[str, Column]) -> Column:
+    """The expression of the feature a row is about."""
+    return reduce(lambda case, f: case.when(F.col("feature") == f, cases[f]), cases, F)
+
+
+def _range_aggregates(features: Sequence[str]) -> list[Column]:
+    return [
+        f(_of(s, c)).alias(f"{c}__{s}_{end}")
+        for c in features
+        for s in SIDES
+        for end, f in (("lo", F.min), ("hi", F.max))
+    ]
+
+
+def _moment_aggregates(features: Sequence[str]) -> list[Column]:
+    return [f(_of(s, c)).alias(f"{c}__{name}") for c in features for name, (s, f) in MOMENTS.items()]
+
+
+def _total_aggregates(features: Sequence[str]) -> list[Column]:
+    return [F.count(F.nanvl(_of(s, c), F.lit(None))).alias(f"{c}__{s}_n") for c in features for s in SIDES]
+
+
 Edges = dict[tuple[str, str], list[float]]
 
 
-def _bounds(both: DataFrame, features: Sequence[str], buckets: int) -> Edges:
+def _edges_of(row: Row, features: Sequence[str], buckets: int) -> Edges:
     """Inner edges of equal-width buckets per feature and side.
 
-    One aggregated row reaches the driver; the edges become constants of the plan. A constant feature
-    gets a unit-wide range around its value, a feature without values no edges.
+    A constant feature gets a unit-wide range around its value, a feature without values no edges.
     """
-    row = both.agg(
-        *[
-            f(_of(s, c)).alias(f"{c}__{s}_{end}")
-            for c in features
-            for s in SIDES
-            for end, f in (("lo", F.min), ("hi", F.max))
-        ]
-    ).first()
     edges: Edges = {}
     for feature in features:
         for side in SIDES:
@@ -68,35 +101,21 @@ def _bucket(value: Column, edges: Sequence[float]) -> Column:
     return reduce(lambda total, edge: total + (value >= edge).cast("int"), edges, F.lit(1))
 
 
-def _psi_of(cells: DataFrame) -> DataFrame:
-    """PSI per feature from counts per ``(feature, side bucket)``."""
-    counts = cells.groupBy("feature", "bucket").agg(
-        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
-    )
-    whole = Window.partitionBy("feature")
-    p_ref = F.col("n_ref") / F.sum("n_ref").over(whole)
-    p_cur = F.col("n_cur") / F.sum("n_cur").over(whole)
-    shares = counts.select("feature", p_ref.alias("p_ref"), p_cur.alias("p_cur"))
-    term = (F.col("p_ref") - F.col("p_cur")) * F.log(
-        (F.col("p_ref") + EPSILON) / (F.col("p_cur") + EPSILON)
-    )
-    return shares.groupBy("feature").agg(F.sum(term).alias("psi"))
-
-
-def _bucket_of(feature: str, value: Column, edges: Edges, bins: str) -> Column:
-    """The bucket of a value by the edges its side uses."""
-    by_ref = _bucket(value, edges[feature, "ref"])
-    if bins == "reference":
-        return by_ref
-    by_cur = _bucket(value, edges[feature, "cur"])
-    return F.when(F.col("n_ref") > 0, by_ref).otherwise(by_cur)
-
-
 def _check_bins(bins: str) -> None:
     if bins not in ("reference", "own"):
         raise ValueError("bins must be 'reference' or 'own'")
 
 
+def _psi_of(cells: DataFrame) -> DataFrame:
+    """PSI per feature from counts per ``(feature, bucket)``."""
+    counts = cells.groupBy("feature", "bucket").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    whole = Window.partitionBy("feature")
+    shares = counts.select("feature", *[(F.col(c) / F.sum(c).over(whole)).alias(c) for c in COUNTS])
+    p, q = (F.col(c) for c in COUNTS)
+    term = (p - q) * F.log((p + EPSILON) / (q + EPSILON))
+    return shares.groupBy("feature").agg(F.sum(term).alias("psi"))
+
+
 def psi(
     reference: DataFrame,
     current: DataFrame,
@@ -107,30 +126,72 @@ def psi(
     """Population stability index per feature, nulls left out.
 
     ``bins="reference"`` cuts both populations by the range of the reference; ``bins="own"`` cuts each
-    by its own range, in which a pure shift is invisible. Two scans: one for the ranges, one that
-    counts per bucket before the shuffle.
+    by its own range, in which a pure shift is invisible. Two scans: one for the ranges, of which one
+    row is collected, and one that counts per bucket before the shuffle.
     """
     _check_bins(bins)
     both = _both(reference, current, features)
-    edges = _bounds(both, features, buckets)
+    edges = _edges_of(both.agg(*_range_aggregates(features)).first(), features, buckets)
+
+    def bucket(feature: str) -> Column:
+        by_ref = _bucket(F.col(feature), edges[feature, "ref"])
+        if bins == "reference":
+            return by_ref
+        by_cur = _bucket(F.col(feature), edges[feature, "cur"])
+        return F.when(F.col("n_ref") == 1, by_ref).otherwise(by_cur)
+
     cells = [
         F.struct(
-            F.lit(f).alias("feature"),
-            F.when(F.col(f).isNotNull(), _bucket_of(f, F.col(f), edges, bins)).alias("bucket"),
+            F.lit(f).alias("feature"), F.when(F.col(f).isNotNull(), bucket(f)).alias("bucket")
         )
         for f in features
     ]
-    long = both.select("n_ref", "n_cur", F.inline(F.array(*cells)))
+    long = both.select(*COUNTS, F.inline(F.array(*cells)))
     return _psi_of(long.where(F.col("bucket").isNotNull()))
 
 
-def _ks_of(counted: DataFrame) -> DataFrame:
-    running = running_counts(counted, ["n_ref", "n_cur"])
-    gap = F.abs(
-        F.try_divide(F.col("n_ref_upto"), F.col("n_ref_total"))
-        - F.try_divide(F.col("n_cur_upto"), F.col("n_cur_total"))
+def _psi_of_counts(counted: DataFrame, edges: Edges, features: Sequence[str], bins: str) -> DataFrame:
+    """PSI from counts per distinct value; with own bins a value has one bucket per side."""
+    value, zero = F.col("value"), F.lit(0).cast("long")
+    by_ref = _per_feature({f: _bucket(value, edges[f, "ref"]) for f in features})
+    if bins == "reference":
+        return _psi_of(counted.withColumn("bucket", by_ref))
+    by_cur = _per_feature({f: _bucket(value, edges[f, "cur"]) for f in features})
+    sides = F.array(
+        F.struct(by_ref.alias("bucket"), F.col("n_ref"), zero.alias("n_cur")),
+        F.struct(by_cur.alias("bucket"), zero.alias("n_ref"), F.col("n_cur")),
+    )
+    cells = counted.select("feature", F.inline(sides))
+    return _psi_of(cells.where((F.col("n_ref") > 0) | (F.col("n_cur") > 0)))
+
+
+def _ks_of_counts(counted: DataFrame, row: Row, features: Sequence[str]) -> DataFrame:
+    """KS statistic from counts per distinct value.
+
+    Inside a slice the two distribution functions differ by a gap that all values share, made in the
+    earlier slices, plus a gap of their own; the extremes of the latter are all that is kept.
+    """
+
+    def gap(suffix: str) -> Column:
+        return _per_feature(
+            {
+                f: F.try_divide(F.col(f"n_ref_{suffix}"), F.lit(row[f"{f}__ref_n"]))
+                - F.try_divide(F.col(f"n_cur_{suffix}"), F.lit(row[f"{f}__cur_n"]))
+                for f in features
+            }
+        )
+
+    inside = within_slice(counted, COUNTS).withColumn("_gap", gap("upto"))
+    slices = inside.groupBy("feature", "slice").agg(
+        F.max("_gap").alias("_highest"),
+        F.min("_gap").alias("_lowest"),
+        *[F.sum(c).alias(c) for c in COUNTS],
+    )
+    shared = before_slice(slices, COUNTS).withColumn("_shared", gap("before"))
+    widest = F.greatest(
+        F.abs(F.col("_shared") + F.col("_highest")), F.abs(F.col("_shared") + F.col("_lowest"))
     )
-    return running.groupBy("feature").agg(F.max(gap).alias("ks"))
+    return shared.groupBy("feature").agg(F.max(widest).alias("ks"))
 
 
 def ks_two_sample(
@@ -138,23 +199,18 @@ def ks_two_sample(
 ) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov statistic per feature; null if a side is empty."""
     both = _both(reference, current, features)
-    weights = {"n_ref": F.col("n_ref"), "n_cur": F.col("n_cur")}
-    return _ks_of(value_counts(both, features, weights, slices=slices))
+    n = slice_count(both.sparkSession, slices)
+    row = both.agg(*cut_aggregates(features, n), *_total_aggregates(features)).first()
+    return _ks_of_counts(value_counts(both, cuts_of(row, features), COUNTS), row, features)
 
 
 def population_moments(
     reference: DataFrame, current: DataFrame, features: Sequence[str]
 ) -> DataFrame:
     """Mean and population deviation of both populations per feature, in one aggregation."""
-    both = _both(reference, current, features)
-    names = {"ref": "train", "cur": "curr"}
-    row = both.agg(
-        *[F.avg(_of(s, f)).alias(f"{f}__mean_{names[s]}") for f in features for s in SIDES],
-        *[F.stddev_pop(_of(s, f)).alias(f"{f}__std_{names[s]}") for f in features for s in SIDES],
-    )
-    stats = ["mean_train", "mean_curr", "std_train", "std_curr"]
+    row = _both(reference, current, features).agg(*_moment_aggregates(features))
     cells = [
-        F.struct(F.lit(f).alias("feature"), *[F.col(f"{f}__{s}").alias(s) for s in stats])
+        F.struct(F.lit(f).alias("feature"), *[F.col(f"{f}__{m}").alias(m) for m in MOMENTS])
         for f in features
     ]
     return row.select(F.inline(F.array(*cells)))
@@ -171,33 +227,34 @@ def drift_report(
 ) -> DataFrame:
     """PSI, KS and moments per feature, and the share of positive predictions now.
 
-    PSI and KS are read off the same counts per distinct value, so the populations are counted once.
+    Two scans of the populations for any number of features: the first collects one row of ranges,
+    cuts, totals and moments, the second counts distinct values, from which PSI and KS both follow.
     """
     _check_bins(bins)
-    both = _both(reference, current, features)
-    weights = {"n_ref": F.col("n_ref"), "n_cur": F.col("n_cur")}
-    counted = value_counts(both, features, weights, slices=slices)
-    # a value seen on both sides is bucketed once per side
-    per_side = [
-        counted.where(F.col(f"n_{s}") > 0).select(
-            "feature",
-            "value",
-            *[F.col(f"n_{o}") if o == s else F.lit(0).cast("long").alias(f"n_{o}") for o in SIDES],
-        )
-        for s in SIDES
-    ]
-    edges = _bounds(both, features, buckets)
-    bucket = F
-    for f in features:
-        bucket = bucket.when(F.col("feature") == f, _bucket_of(f, F.col("value"), edges, bins))
-    cells = per_side[0].unionByName(per_side[1]).withColumn("bucket", bucket)
-    report = (
-        population_moments(reference, current, features)
-        .join(_psi_of(cells), "feature", "left")
-        .join(_ks_of(counted), "feature", "left")
+    hit = {"_hit": F.when(F.col(prediction) == 1, 1).otherwise(0)} if prediction else {}
+    both = _both(reference, current, features, hit)
+    spark = both.sparkSession
+    row = both.agg(
+        *_range_aggregates(features),
+        *_moment_aggregates(features),
+        *_total_aggregates(features),
+        *cut_aggregates(features, slice_count(spark, slices)),
+        *([F.coalesce(F.avg("_hit"), F.lit(0.0)).alias("label_ratio")] if prediction else []),
+    ).first()
+    counted = value_counts(both, cuts_of(row, features), COUNTS)
+    known = spark.createDataFrame(
+        [
+            (f, *[row[f"{f}__{m}"] for m in MOMENTS], *([row.label_ratio] if prediction else []))
+            for f in features
+        ],
+        "feature string, "
+        + ", ".join(f"{m} double" for m in MOMENTS)
+        + (", label_ratio double" if prediction else ""),
+    )
+    edges = _edges_of(row, features, buckets)
+    report = known.join(_psi_of_counts(counted, edges, features, bins), "feature", "left").join(
+        _ks_of_counts(counted, row, features), "feature", "left"
+    )
+    return report.select(
+        "feature", "psi", "ks", *MOMENTS, *(["label_ratio"] if prediction else [])
     )
-    columns = ["feature", "psi", "ks", "mean_train", "mean_curr", "std_train", "std_curr"]
-    if prediction is None:
-        return report.select(*columns)
-    ratio = label_ratio(current, prediction).select("label_ratio").scalar()
-    return report.select(*columns, ratio.alias("label_ratio"))

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapcredit.operators.joins import delayed_label_join
-from snapcredit.operators.ranks import running_counts, value_counts
+from snapcredit.operators.ranks import (
+    before_slice,
+    cut_aggregates,
+    cuts_of,
+    slice_count,
+    value_counts,
+    within_slice,
+)
 
 
 def auc_exact(
@@ -22,23 +29,36 @@ def auc_exact(
 
     Every pair of a positive and a negative row counts 1 if the positive scores higher and 1/2 if the
     scores are equal. The pairs are never made: per distinct score the negatives below it are known
-    from running counts.
+    from running counts, and the pairs with earlier slices from the totals of those.
     """
     positive = F.col(label) == 1
-    weights = {
-        "n_pos": F.when(positive, 1).otherwise(0),
-        "n_neg": F.when(~positive, 1).otherwise(0),
-    }
-    counted = value_counts(
-        df.where(F.col(label).isNotNull()), [score], weights, by=by, slices=slices
+    known = df.where(F.col(label).isNotNull()).select(
+        *by,
+        F.col(score).cast("double").alias("_score"),
+        F.when(positive, 1).otherwise(0).alias("n_pos"),
+        F.when(positive, 0).otherwise(1).alias("n_neg"),
     )
-    running = running_counts(counted, list(weights), by)
+    counts = ("n_pos", "n_neg")
+    row = known.agg(*cut_aggregates(["_score"], slice_count(df.sparkSession, slices))).first()
+    counted = value_counts(known, cuts_of(row, ["_score"]), counts, by)
     below = F.col("n_neg_upto") - F.col("n_neg") + F.col("n_neg") / 2
-    pairs = F.first("n_pos_total").cast("double") * F.first("n_neg_total")
-    return running.groupBy(*by).agg(
-        F.try_divide(F.sum(F.col("n_pos") * below), pairs).alias("auc"),
-        F.first("n_pos_total").alias("n_pos"),
-        F.first("n_neg_total").alias("n_neg"),
+    sliced = (
+        within_slice(counted, counts, by)
+        .groupBy(*by, "feature", "slice")
+        .agg(
+            F.sum(F.col("n_pos") * below).alias("_inside"),
+            *[F.sum(c).alias(c) for c in counts],
+        )
+    )
+    won = F.col("_inside") + F.col("n_pos").cast("double") * F.col("n_neg_before")
+    pairs = F.sum("n_pos").cast("double") * F.sum("n_neg")
+    return (
+        before_slice(sliced, counts, by)
+        .groupBy(*by)
+        .agg(
+            F.try_divide(F.sum(won), pairs).alias("auc"),
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+        )
     )
 
 

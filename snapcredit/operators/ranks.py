@@ -1,11 +1,16 @@
-"""Running counts in value order, the common part of the KS statistic and the exact AUC."""
+"""Running counts in value order, the common part of the KS statistic and the exact AUC.
+
+Rows are first reduced to one per distinct value, then the values are cut into slices of about equal
+size. Running counts are taken inside a slice, and the totals of the earlier slices, one row per slice,
+are added afterwards. So no task sorts more than one slice, however large a column or a group is.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapcredit.session import shuffle_width
@@ -13,91 +18,78 @@ from snapcredit.session import shuffle_width
 MAX_SLICES = 512
 
 
-def slice_cuts(df: DataFrame, columns: Sequence[str], slices: int) -> list[list[float]]:
-    """Inner cut points per column that divide its values into about equal slices.
+def slice_count(spark: SparkSession, slices: int | None = None) -> int:
+    return slices or min(shuffle_width(spark), MAX_SLICES)
+
 
-    At most ``slices`` numbers per column reach the driver. They become constants of the plan, so
-    every task, and every repeated task, sees the same cuts.
+def cut_aggregates(columns: Sequence[str], slices: int) -> list[Column]:
+    """Aggregates that find, per column, cut points between about equal slices of its values.
+
+    Their result, at most ``slices`` numbers per column, is collected and becomes a constant of the
+    plan: every task, and every repeated task, sees the same cuts.
     """
-    if slices < 2:
-        return [[] for _ in columns]
-    shares = [i / slices for i in range(1, slices)]
-    found = df.approxQuantile(list(columns), shares, 1 / (4 * slices))
-    return [sorted(set(cuts)) for cuts in found]
+    shares = [i / slices for i in range(1, slices)] or [0.5]
+    return [
+        F.percentile_approx(F.nanvl(F.col(c), F.lit(None)), shares, 20 * slices).alias(f"_cuts_{c}")
+        for c in columns
+    ]
+
+
+def cuts_of(row: Row, columns: Sequence[str]) -> dict[str, list[float]]:
+    return {c: sorted(set(row[f"_cuts_{c}"] or [0.0])) for c in columns}
 
 
 def value_counts(
     df: DataFrame,
-    columns: Sequence[str],
-    counts: Mapping[str, Column],
+    cuts: Mapping[str, Sequence[float]],
+    counts: Sequence[str],
     by: Sequence[str] = (),
-    slices: int | None = None,
 ) -> DataFrame:
-    """Rows per distinct value: ``(by, feature, slice, value, <counts>)``.
+    """Rows per distinct value of the double columns in ``cuts``: ``(by, feature, slice, value, counts)``.
 
-    ``counts`` are integer weights summed per value. A value that fills much of a column is one row
-    per map task before the shuffle. ``slice`` numbers the value ranges in rising order.
+    ``counts`` are integer weights, summed per value before and after the shuffle, so a value that
+    fills much of a column is one row per map task. Nulls and NaN are left out.
     """
-    slices = slices or min(shuffle_width(df.sparkSession), MAX_SLICES)
-    columns = list(columns)
-    wide = df.select(
-        *by,
-        *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)],
-        *[weight.alias(name) for name, weight in counts.items()],
-    )
-    values = [f"_v{i}" for i in range(len(columns))]
-    ends = [
-        [float("-inf"), *(cuts or [0.0]), float("inf")] for cuts in slice_cuts(wide, values, slices)
-    ]
+    columns = list(cuts)
     sliced = Bucketizer(
-        inputCols=values,
-        outputCols=[f"_s{i}" for i in range(len(columns))],
-        splitsArray=ends,
+        inputCols=columns,
+        outputCols=[f"_slice_{c}" for c in columns],
+        splitsArray=[[float("-inf"), *cuts[c], float("inf")] for c in columns],
         handleInvalid="keep",
-    ).transform(wide)
+    ).transform(df.select(*by, *columns, *counts))
     cells = [
         F.struct(
             F.lit(c).alias("feature"),
-            F.col(f"_s{i}").cast("int").alias("slice"),
-            F.col(f"_v{i}").alias("value"),
+            F.col(f"_slice_{c}").cast("int").alias("slice"),
+            F.col(c).alias("value"),
         )
-        for i, c in enumerate(columns)
+        for c in columns
     ]
     return (
         sliced.select(*by, *counts, F.inline(F.array(*cells)))
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy(*by, "feature", "slice", "value")
-        .agg(*[F.sum(name).alias(name) for name in counts])
+        .agg(*[F.sum(c).alias(c) for c in counts])
     )
 
 
-def running_counts(counted: DataFrame, counts: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Add ``<count>_upto`` (this value included) and ``<count>_total`` to ``value_counts``.
-
-    Running sums are taken inside a slice; the totals of the earlier slices, one row per slice, are
-    added to them. No task sorts more than one slice of one feature.
-    """
-    group = [*by, "feature"]
-    within = Window.partitionBy(*group, "slice").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+def within_slice(counted: DataFrame, counts: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Add ``<count>_upto``: the running count inside the slice, this value included."""
+    running = (
+        Window.partitionBy(*by, "feature", "slice")
+        .orderBy("value")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    whole = Window.partitionBy(*group)
-    earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counted.groupBy(*group, "slice")
-        .agg(*[F.sum(c).alias(c) for c in counts])
-        .select(
-            *group,
-            "slice",
-            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}_before") for c in counts],
-            *[F.sum(c).over(whole).alias(f"{c}_total") for c in counts],
-        )
+    return counted.withColumns({f"{c}_upto": F.sum(c).over(running) for c in counts})
+
+
+def before_slice(totals: DataFrame, counts: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Add ``<count>_before`` to slice totals: the count in all earlier slices of the feature."""
+    earlier = (
+        Window.partitionBy(*by, "feature")
+        .orderBy("slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = counted.withColumns({f"_{c}_within": F.sum(c).over(within) for c in counts})
-    return inside.join(offsets, [*group, "slice"]).select(
-        *group,
-        "value",
-        *counts,
-        *[(F.col(f"_{c}_before") + F.col(f"_{c}_within")).alias(f"{c}_upto") for c in counts],
-        *[f"{c}_total" for c in counts],
+    return totals.withColumns(
+        {f"{c}_before": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in counts}
     )

@@ -41,19 +41,22 @@ def oot_split(
     date_column: str = "snapshot_date",
     output: str = "split",
     rest: str = "rest",
+    latest: dt.date | None = None,
 ) -> DataFrame:
     """Add a split name: the last ``n_oot`` snapshots are ``oot_1..oot_n``, the newest being ``oot_n``.
 
-    Older rows are ``rest``; rows between two out-of-time snapshots belong to no set and get null. The
-    newest snapshot is a scalar subquery, so the rows are read once and not shuffled.
+    Older rows are ``rest``; rows between two out-of-time snapshots belong to no set and get null. If
+    the newest snapshot is not given it is looked up, one date; the split itself is a projection.
     """
-    latest = df.agg(F.max(date_column).alias("latest")).scalar()
-    age = F.col("_months_back")
-    case = F.when(age > n_oot - 1, rest)
-    for back in range(n_oot):
-        case = case.when(age == back, f"oot_{n_oot - back}")
-    dated = df.withColumn("_months_back", F.months_between(latest, F.col(date_column)))
-    return dated.withColumn(output, case).drop("_months_back")
+    if latest is None:
+        latest = df.agg(F.max(date_column)).first()[0]
+    if latest is None:
+        return df.withColumn(output, F.lit(None).cast("string"))
+    months = [shift_months(latest, -back) for back in range(n_oot)]
+    case = F.when(F.col(date_column) < months[-1], rest) if months else F.when(F.lit(True), rest)
+    for back, month in enumerate(months):
+        case = case.when(F.col(date_column) == month, f"oot_{n_oot - back}")
+    return df.withColumn(output, case)
 
 
 def training_sets(
@@ -62,9 +65,11 @@ def training_sets(
     n_oot: int = 3,
     date_column: str = "snapshot_date",
     shares: Mapping[str, int] | None = None,
+    latest: dt.date | None = None,
 ) -> DataFrame:
     """``oot_split``, then ``hash_split`` of the rest; rows of no set are dropped."""
-    staged = hash_split(oot_split(df, n_oot, date_column, "_oot"), keys, shares, "_hash")
+    aged = oot_split(df, n_oot, date_column, "_oot", latest=latest)
+    staged = hash_split(aged, keys, shares, "_hash")
     split = F.when(F.col("_oot") == "rest", F.col("_hash")).otherwise(F.col("_oot"))
     return staged.withColumn("split", split).where(F.col("split").isNotNull()).drop("_oot", "_hash")
 

@@ -31,7 +31,7 @@ def csv_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orders")
     write_snapshots(orders_by_month(spark, sf_dir), path)
-    return load_snapshot(spark, path, "1998-03-01")
+    return load_snapshot(spark, path, "1998-03-01", "parquet")
 
 
 def _totals(df: DataFrame) -> DataFrame:

@@ -11,9 +11,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from snapcredit.functions.casts import declared_types, pattern_gated_cast, schema_enforce
+from snapcredit.functions.casts import pattern_gated_cast, schema_enforce
 from snapcredit.functions.dates import as_date
 from snapcredit.functions.text import duration_months, token_counts
 from snapcredit.models.registry import load_champion, promote_champion, save_model
@@ -55,27 +54,19 @@ TABLES = {
 }
 
 
-def raw_schema(table: str, extra: Sequence[str] = ()) -> T.StructType:
-    """Bronze keeps values as text; only the snapshot date is typed."""
-    fields = [*extra, *declared_types(TABLES[table])]
-    return T.StructType(
-        [
-            T.StructField(c, T.DateType() if c == "snapshot_date" else T.StringType())
-            for c in dict.fromkeys(fields)
-        ]
-    )
-
-
 def ingest(
     spark: SparkSession,
     csv_path: str,
     bronze_path: str,
     start: str | dt.date,
     end: str | dt.date,
-    schema: T.StructType | str | None = None,
 ) -> None:
-    """Source CSV to bronze, all months of the range in one pass over the source."""
-    source = read_csv(spark, csv_path, schema)
+    """Source CSV to bronze, all months of the range in one pass over the source.
+
+    Values stay the text they are in the source; only the snapshot date is read as a date.
+    """
+    day = F.col("snapshot_date").try_cast("date")
+    source = read_csv(spark, csv_path, infer=False).withColumn("snapshot_date", day)
     window = F.col("snapshot_date").between(F.lit(as_date(start)), F.lit(as_date(end)))
     write_snapshots(source.where(window), bronze_path, "csv")
 
@@ -138,7 +129,7 @@ def refresh(
     """Build the silver snapshots that are missing in the range; returns their dates per table."""
     return {
         name: backfill(
-            read_csv(spark, path, raw_schema(name)),
+            read_csv(spark, path, infer=False),
             lambda df, name=name: silver(df, name),
             silver_paths[name],
             start,

@@ -13,10 +13,20 @@ from snapcredit.functions.dates import as_date
 FORMATS = ("csv", "parquet")
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema Spark reads the files once more to infer one."""
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str | None = None,
+    infer: bool = True,
+) -> DataFrame:
+    """CSV with a header.
+
+    A declared schema is matched to the columns by position. Without one Spark reads the files once
+    more to infer types, or, with ``infer=False``, takes the names from the header and all values as
+    text.
+    """
     reader = spark.read.option("header", True)
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    return (reader.schema(schema) if schema else reader.option("inferSchema", infer)).csv(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
