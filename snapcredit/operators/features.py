@@ -31,7 +31,7 @@ def join_feature_tables(
     customer, snapshot = KEYS
     averaged = range_join_avg(
         clicks, loan_starts(loans), customer, snapshot, "loan_start_date", measures
-    ).drop("n_pairs")
+    )
     return attributes.join(financials, list(KEYS), "inner").join(averaged, list(KEYS), "left")
 
 

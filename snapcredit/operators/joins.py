@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,42 +30,100 @@ def range_join_avg(
 ) -> DataFrame:
     """Average facts dated at or before a start of the same key, over all (fact, start) pairs.
 
-    Without making the pairs: facts are summed per (key, date), starts counted per (key, date), and a
-    fact date weighs as much as there are starts on or after it. Both sides shrink before the shuffle;
-    the running count then sees one row per date of a key. ``group_by`` is ``[key, fact_date]`` or
-    ``[key]``.
+    The pairs are never made. ``group_by`` is ``[key, fact_date]`` (the default) or ``[key]``.
     """
     group_by = list(group_by or [key, fact_date])
-    sums = facts.where(F.col(key).isNotNull() & F.col(fact_date).isNotNull())
-    sums = sums.groupBy(key, F.col(fact_date).alias("_date")).agg(
+    facts = facts.where(F.col(key).isNotNull() & F.col(fact_date).isNotNull())
+    starts = starts.where(F.col(key).isNotNull() & F.col(start_date).isNotNull())
+    if set(group_by) == {key, fact_date}:
+        # all facts of a group pair with the same starts, so it only matters that there is one
+        newest = starts.groupBy(key).agg(F.max(start_date).alias("_newest"))
+        paired = facts.join(newest, key).where(F.col(fact_date) <= F.col("_newest"))
+        return paired.groupBy(*group_by).agg(*[F.avg(m).alias(f"{m}{suffix}") for m in measures])
+    if group_by != [key]:
+        raise ValueError("group_by must be the key, with or without the fact date")
+    return _weighted_avg(facts, starts, key, fact_date, start_date, measures, suffix)
+
+
+def _weighted_avg(
+    facts: DataFrame,
+    starts: DataFrame,
+    key: str,
+    fact_date: str,
+    start_date: str,
+    measures: Sequence[str],
+    suffix: str,
+) -> DataFrame:
+    """Averages per key in which a fact weighs as much as there are starts on or after its date.
+
+    Facts are summed and starts counted per (key, date) before anything is sorted; the running count
+    then sees one row per date of a key.
+    """
+    sums = facts.groupBy(key, F.col(fact_date).alias("_date")).agg(
         *[F.sum(m).cast("double").alias(f"_sum_{m}") for m in measures],
         *[F.count(m).alias(f"_n_{m}") for m in measures],
-        F.count(F.lit(1)).alias("_facts"),
     )
-    weights = (
-        starts.where(F.col(key).isNotNull() & F.col(start_date).isNotNull())
-        .groupBy(key, F.col(start_date).alias("_date"))
-        .agg(F.count(F.lit(1)).alias("_starts"))
+    counts = starts.groupBy(key, F.col(start_date).alias("_date")).agg(
+        F.count(F.lit(1)).alias("_starts")
     )
-    per_date = sums.unionByName(weights, allowMissingColumns=True)
     later = (
         Window.partitionBy(key)
         .orderBy(F.col("_date").desc())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    weighted = (
-        per_date.withColumn("_weight", F.coalesce(F.sum("_starts").over(later), F.lit(0)))
-        .where((F.col("_facts") > 0) & (F.col("_weight") > 0))
-        .withColumnRenamed("_date", fact_date)
+    weighted = sums.unionByName(counts, allowMissingColumns=True).withColumn(
+        "_weight", F.sum("_starts").over(later)
     )
-    return weighted.groupBy(*group_by).agg(
-        *[
-            F.try_divide(
-                F.sum(F.col(f"_sum_{m}") * F.col("_weight")), F.sum(F.col(f"_n_{m}") * F.col("_weight"))
-            ).alias(f"{m}{suffix}")
-            for m in measures
-        ],
-        F.sum(F.col("_facts") * F.col("_weight")).alias("n_pairs"),
+
+    def total(column: str) -> Column:
+        return F.sum(F.col(column) * F.col("_weight"))
+
+    paired = weighted.where(F.col("_starts").isNull() & (F.col("_weight") > 0))
+    return paired.groupBy(key).agg(
+        *[F.try_divide(total(f"_sum_{m}"), total(f"_n_{m}")).alias(f"{m}{suffix}") for m in measures]
+    )
+
+
+def _has_large_key(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int
+) -> bool:
+    """Does a key have more than ``max_rows`` rows on both sides together? Reads the keys only."""
+    both = left.select(*keys).unionAll(right.select(*keys))
+    sizes = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return (sizes.agg(F.max("n")).first()[0] or 0) > max_rows
+
+
+def _merge_sorted(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_time: str,
+    right_time: str,
+    outputs: Mapping[str, str],
+    tie_break: Sequence[str],
+) -> DataFrame:
+    """Both sides of a key in time order, each left row taking the last right row before it."""
+    ties = [c for c in dict.fromkeys([*tie_break, *outputs]) if c in right.columns]
+    hits = right.select(
+        *keys,
+        F.col(right_time).alias("_time"),
+        F.lit(0).alias("_side"),
+        *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(ties)],
+        F.struct(*[F.col(c).alias(o) for c, o in outputs.items()]).alias("_hit"),
+    )
+    probes = left.select(
+        *keys, F.col(left_time).alias("_time"), F.lit(1).alias("_side"), F.struct("*").alias("_left")
+    )
+    so_far = (
+        Window.partitionBy(*keys)
+        .orderBy("_time", "_side", *[f"_tie{i}" for i in range(len(ties))])
+        .rowsBetween(*UP_TO_HERE)
+    )
+    return (
+        probes.unionByName(hits, allowMissingColumns=True)
+        .withColumn("_hit", F.last("_hit", ignorenulls=True).over(so_far))
+        .where(F.col("_side") == 1)
+        .select("_left.*", "_hit.*")
     )
 
 
@@ -116,21 +174,22 @@ def asof_latest(
     tie_break: Sequence[str] = (),
     time_slice: str | None = None,
     matched_time: str | None = None,
+    max_key_rows: int = 1_000_000,
 ) -> DataFrame:
     """Left join with the latest right row of the same key at or before the left time.
 
     Left rows without a match are kept with nulls. Right rows of equal time are decided by
-    ``tie_break`` (highest first), then by the payload.
+    ``tie_break`` (highest first), then by the payload. ``payload`` names the right columns to add
+    (``{right: output}`` renames them), by default all but the keys and the time; ``matched_time`` adds
+    the time of the matched row.
 
-    The match depends only on (key, time), so it is computed for the distinct probe times of the left
-    side and joined back: a key or a (key, time) that holds much of the left side collapses before the
-    shuffle, and the join back is an equi-join against unique keys that adaptive execution can split.
-    With date columns a key has at most one row per day in the window. For timestamps the window is
-    also cut into ``time_slice`` units (``day`` unless given) with the last match of the earlier
-    slices carried in.
-
-    ``payload`` names the right columns to add (``{right: output}`` renames them), by default all but
-    the keys and the time; ``matched_time`` adds the time of the matched row.
+    If no key has more than ``max_key_rows`` rows, both sides are sorted together by key and time: one
+    shuffle, and memory for one key at a time. Otherwise the match, which depends only on (key, time),
+    is computed for the distinct times of the left side and joined back, so that whatever repeats
+    collapses before the shuffle, and the join back is an equi-join that adaptive execution can split.
+    A key then has at most one row per side and time in the window; for timestamps the window is also
+    cut into ``time_slice`` units (``day`` unless given) with the last match of the earlier slices
+    carried in. Giving ``time_slice`` asks for this way without counting.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if payload is None:
@@ -141,15 +200,18 @@ def asof_latest(
     clash = set(outputs.values()) & set(left.columns)
     if clash:
         raise ValueError(f"columns on both sides, rename them in payload: {sorted(clash)}")
-    if time_slice is None and not isinstance(left.schema[left_time].dataType, T.DateType):
-        time_slice = "day"
 
-    time_type = left.schema[left_time].dataType
     known_keys = F.lit(True)
     for k in keys:
         known_keys = known_keys & F.col(k).isNotNull()
     needed = dict.fromkeys([*keys, right_time, *outputs, *tie_break])
     candidates = right.where(known_keys & F.col(right_time).isNotNull()).select(*needed)
+    if time_slice is None and not _has_large_key(left, candidates, keys, max_key_rows):
+        return _merge_sorted(left, candidates, keys, left_time, right_time, outputs, tie_break)
+
+    time_type = left.schema[left_time].dataType
+    if time_slice is None and not isinstance(time_type, T.DateType):
+        time_slice = "day"
     hits = dedup_latest(candidates, [*keys, right_time], tie_break).select(
         *keys,
         F.col(right_time).cast(time_type).alias("_time"),

@@ -105,7 +105,7 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         "snapshot_date",
         "start_date",
         ["quantity", "cents"],
-    ).drop("n_pairs")
+    )
     joined = financials.join(customers, "Customer_ID").join(averaged, keys, "left")
     encoded = one_hot(joined, "c_mktsegment", SEGMENTS, drop_label="HOUSEHOLD")
     return fill_zero(encoded, exclude=keys)

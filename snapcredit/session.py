@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Adaptive execution does the run-time work the operators rely on: coalescing small shuffle
 # partitions, splitting skewed join partitions and skewed REBALANCE partitions.
@@ -51,15 +50,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def shuffle_width(spark: SparkSession) -> int:
     """Shuffle partitions of the session: how far a group has to be cut to spread over the cluster."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """``df`` marked for broadcast if it really has at most ``max_rows`` rows, else ``df`` unmarked.
-
-    At most ``max_rows + 1`` rows reach the driver. A larger side keeps the shuffled join that Spark
-    plans by itself.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
