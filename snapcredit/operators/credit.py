@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ def delinquency(
     due: str = "due_amt",
     overdue: str = "overdue_amt",
     snapshot: str = "snapshot_date",
+    keys: Sequence[str] = ("loan_id", "Customer_ID"),
 ) -> DataFrame:
     """Months on book, instalments missed, the first missed date and days past due.
 
@@ -25,11 +27,12 @@ def delinquency(
     * ``dpd``: calendar days since then; 0 if nothing is overdue, null if an amount is overdue that was
       never due. The null is left visible for the quality counters.
 
-    Null amounts count as 0, like every numeric null of the ledger.
+    Null amounts count as 0, like every numeric null of the ledger outside the keys.
     """
     missed = F.ceil(F.try_divide(F.col(overdue), F.col(due))).cast("int")
     staged = fill_zero(
-        loans.withColumns({"mob": F.col(installment).cast("int"), "installments_missed": missed})
+        loans.withColumns({"mob": F.col(installment).cast("int"), "installments_missed": missed}),
+        exclude=keys,
     )
     first_missed = F.when(
         F.col("installments_missed") > 0,

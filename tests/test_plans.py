@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from snapcredit.operators.credit import create_label
 from snapcredit.plans.catalog import ORACLES, QUERIES
 
 
@@ -66,14 +67,19 @@ def test_row_operators_do_not_shuffle(plans):
         assert "Exchange" not in plans[name], name
 
 
-def test_scans_are_pruned(spark, sf_dir, plans, capsys):
-    QUERIES["label_store"](spark, sf_dir).explain("formatted")
-    text = capsys.readouterr().out
+def test_scans_are_pruned(spark, sf_dir, plans, capsys, tmp_path):
+    def explained(df):
+        df.explain("formatted")
+        return capsys.readouterr().out
+
+    text = explained(QUERIES["label_store"](spark, sf_dir))
     schema = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} == {
         "l_orderkey", "l_suppkey", "l_linenumber", "l_discount", "l_tax", "l_shipdate",
     }
-    assert "PushedFilters: [IsNotNull(l_linenumber), EqualTo(l_linenumber,6)]" in text
+    QUERIES["delinquency"](spark, sf_dir).write.parquet(str(tmp_path / "silver"))
+    text = explained(create_label(spark.read.parquet(str(tmp_path / "silver"))))
+    assert "PushedFilters: [IsNotNull(mob), EqualTo(mob,6)]" in text
     assert "PartitionFilters: [isnotnull(snapshot_date" in plans["snapshot_scan"]
 
 
