@@ -13,9 +13,11 @@ def columns_like(df: DataFrame, prefix: str = "", suffix: str = "") -> list[str]
     return [c for c in df.columns if c.startswith(prefix) and c.endswith(suffix)]
 
 
-def multi_avg(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def multi_avg(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], suffix: str = "_avg"
+) -> DataFrame:
     """``<column>_avg`` per key."""
-    return df.groupBy(*keys).agg(*[F.avg(c).alias(f"{c}_avg") for c in columns])
+    return df.groupBy(*keys).agg(*[F.avg(c).alias(f"{c}{suffix}") for c in columns])
 
 
 def label_ratio(

@@ -8,14 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from snapcredit.operators.ranks import (
-    before_slice,
-    cut_aggregates,
-    cuts_of,
-    slice_count,
-    value_counts,
-    within_slice,
-)
+from snapcredit.operators.ranks import before_slice, slice_cuts, value_counts, within_slice
 
 # Fixed value: keeps the logarithm finite for a bucket that is empty on one side.
 EPSILON = 1e-6
@@ -72,7 +65,9 @@ def _moment_aggregates(features: Sequence[str]) -> list[Column]:
 
 
 def _total_aggregates(features: Sequence[str]) -> list[Column]:
-    return [F.count(F.nanvl(_of(s, c), F.lit(None))).alias(f"{c}__{s}_n") for c in features for s in SIDES]
+    return [F.count(F.lit(1)).alias("_rows")] + [
+        F.count(F.nanvl(_of(s, c), F.lit(None))).alias(f"{c}__{s}_n") for c in features for s in SIDES
+    ]
 
 
 Edges = dict[tuple[str, str], list[float]]
@@ -199,9 +194,9 @@ def ks_two_sample(
 ) -> DataFrame:
     """Exact two-sample Kolmogorov-Smirnov statistic per feature; null if a side is empty."""
     both = _both(reference, current, features)
-    n = slice_count(both.sparkSession, slices)
-    row = both.agg(*cut_aggregates(features, n), *_total_aggregates(features)).first()
-    return _ks_of_counts(value_counts(both, cuts_of(row, features), COUNTS), row, features)
+    row = both.agg(*_total_aggregates(features)).first()
+    cuts = slice_cuts(both, features, row["_rows"], slices)
+    return _ks_of_counts(value_counts(both, cuts, COUNTS), row, features)
 
 
 def population_moments(
@@ -228,7 +223,8 @@ def drift_report(
     """PSI, KS and moments per feature, and the share of positive predictions now.
 
     Two scans of the populations for any number of features: the first collects one row of ranges,
-    cuts, totals and moments, the second counts distinct values, from which PSI and KS both follow.
+    totals and moments, the second counts distinct values, from which PSI and KS both follow. Large
+    populations are scanned once more for a sample that balances the work.
     """
     _check_bins(bins)
     hit = {"_hit": F.when(F.col(prediction) == 1, 1).otherwise(0)} if prediction else {}
@@ -238,10 +234,9 @@ def drift_report(
         *_range_aggregates(features),
         *_moment_aggregates(features),
         *_total_aggregates(features),
-        *cut_aggregates(features, slice_count(spark, slices)),
         *([F.coalesce(F.avg("_hit"), F.lit(0.0)).alias("label_ratio")] if prediction else []),
     ).first()
-    counted = value_counts(both, cuts_of(row, features), COUNTS)
+    counted = value_counts(both, slice_cuts(both, features, row["_rows"], slices), COUNTS)
     known = spark.createDataFrame(
         [
             (f, *[row[f"{f}__{m}"] for m in MOMENTS], *([row.label_ratio] if prediction else []))

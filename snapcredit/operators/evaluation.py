@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapcredit.operators.joins import delayed_label_join
-from snapcredit.operators.ranks import (
-    before_slice,
-    cut_aggregates,
-    cuts_of,
-    slice_count,
-    value_counts,
-    within_slice,
-)
+from snapcredit.operators.ranks import before_slice, slice_cuts, value_counts, within_slice
 
 
 def auc_exact(
@@ -44,8 +37,8 @@ def auc_exact(
     )
     counts = ("n_pos", "n_neg")
     sample = known if cuts_from is None else cuts_from.select(F.col(score).cast("double").alias("_score"))
-    row = sample.agg(*cut_aggregates(["_score"], slice_count(df.sparkSession, slices))).first()
-    counted = value_counts(known, cuts_of(row, ["_score"]), counts, by)
+    cuts = slice_cuts(sample, ["_score"], sample.count(), slices)
+    counted = value_counts(known, cuts, counts, by)
     below = F.col("n_neg_upto") - F.col("n_neg") + F.col("n_neg") / 2
     sliced = (
         within_slice(counted, counts, by)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapcredit.operators.aggregates import multi_avg
 from snapcredit.operators.quality import dedup_latest
 
 BEFORE = (Window.unboundedPreceding, -1)
@@ -27,10 +28,13 @@ def range_join_avg(
     measures: Sequence[str],
     group_by: Sequence[str] | None = None,
     suffix: str = "_avg",
+    max_broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Average facts dated at or before a start of the same key, over all (fact, start) pairs.
 
-    The pairs are never made. ``group_by`` is ``[key, fact_date]`` (the default) or ``[key]``.
+    The pairs are never made. ``group_by`` is ``[key, fact_date]`` (the default) or ``[key]``. Keys with
+    a start are counted; up to ``max_broadcast_rows`` of them filter the facts by broadcast, more are
+    joined to the averages.
     """
     group_by = list(group_by or [key, fact_date])
     facts = facts.where(F.col(key).isNotNull() & F.col(fact_date).isNotNull())
@@ -38,8 +42,12 @@ def range_join_avg(
     if set(group_by) == {key, fact_date}:
         # all facts of a group pair with the same starts, so it only matters that there is one
         newest = starts.groupBy(key).agg(F.max(start_date).alias("_newest"))
-        paired = facts.join(newest, key).where(F.col(fact_date) <= F.col("_newest"))
-        return paired.groupBy(*group_by).agg(*[F.avg(m).alias(f"{m}{suffix}") for m in measures])
+        if newest.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+            paired = facts.join(F.broadcast(newest), key).where(F.col(fact_date) <= F.col("_newest"))
+            return multi_avg(paired, group_by, measures, suffix)
+        # averaging first leaves the shuffled join one row per date of a key
+        averaged = multi_avg(facts, group_by, measures, suffix)
+        return averaged.join(newest, key).where(F.col(fact_date) <= F.col("_newest")).drop("_newest")
     if group_by != [key]:
         raise ValueError("group_by must be the key, with or without the fact date")
     return _weighted_avg(facts, starts, key, fact_date, start_date, measures, suffix)

@@ -10,33 +10,37 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapcredit.session import shuffle_width
+ROWS_PER_SLICE = 250_000
+MAX_SLICES = 4_096
+SAMPLED_PER_SLICE = 500
 
-MAX_SLICES = 512
 
+def slice_cuts(
+    df: DataFrame, columns: Sequence[str], n_rows: int, slices: int | None = None
+) -> dict[str, list[float]]:
+    """Cut points per double column that divide ``n_rows`` rows into about equal slices.
 
-def slice_count(spark: SparkSession, slices: int | None = None) -> int:
-    return slices or min(shuffle_width(spark), MAX_SLICES)
-
-
-def cut_aggregates(columns: Sequence[str], slices: int) -> list[Column]:
-    """Aggregates that find, per column, cut points between about equal slices of its values.
-
-    Their result, at most ``slices`` numbers per column, is collected and becomes a constant of the
-    plan: every task, and every repeated task, sees the same cuts.
+    Unless given, the number of slices grows with the rows; up to ``ROWS_PER_SLICE`` rows need no cut
+    and no job. The cuts come from a sample whose size depends on the number of slices only. They
+    balance the work and nothing else, so a sample does not make the results approximate. They are
+    collected and become constants of the plan: every task, and every repeated task, sees the same.
     """
-    shares = [i / slices for i in range(1, slices)] or [0.5]
-    return [
-        F.percentile_approx(F.nanvl(F.col(c), F.lit(None)), shares, 20 * slices).alias(f"_cuts_{c}")
-        for c in columns
-    ]
-
-
-def cuts_of(row: Row, columns: Sequence[str]) -> dict[str, list[float]]:
-    return {c: sorted(set(row[f"_cuts_{c}"] or [0.0])) for c in columns}
+    slices = slices or min(-(-n_rows // ROWS_PER_SLICE), MAX_SLICES)
+    if slices < 2:
+        return {c: [0.0] for c in columns}
+    share = min(1.0, slices * SAMPLED_PER_SLICE / max(n_rows, 1))
+    sample = df.select(*columns) if share == 1.0 else df.select(*columns).sample(share, seed=17)
+    shares = f"array({', '.join(f'{i / slices}D' for i in range(1, slices))})"
+    row = sample.agg(
+        *[
+            F.expr(f"percentile_approx(nanvl(`{c}`, null), {shares}, {20 * slices})").alias(c)
+            for c in columns
+        ]
+    ).first()
+    return {c: sorted(set(row[c] or [0.0])) for c in columns}
 
 
 def value_counts(

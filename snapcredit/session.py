@@ -45,8 +45,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="snapcredit-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/snapcredit/{name}-{uuid4().hex}"
-
-
-def shuffle_width(spark: SparkSession) -> int:
-    """Shuffle partitions of the session: how far a group has to be cut to spread over the cluster."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

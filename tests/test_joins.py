@@ -61,8 +61,8 @@ def test_asof_names(spark):
     assert renamed.first().v_before == 1
 
 
-@pytest.mark.parametrize("group_by", [["k", "t"], ["k"]])
-def test_range_join_against_pairs(spark, group_by):
+@pytest.mark.parametrize("group_by,limit", [(["k", "t"], 500_000), (["k", "t"], 1), (["k"], 1)])
+def test_range_join_against_pairs(spark, group_by, limit):
     rng = random.Random(5)
     day = lambda: dt.date(2023, 1, 1) + dt.timedelta(days=rng.randrange(60))
     key = lambda: rng.choice(["hot"] * 4 + ["a", "b", None])
@@ -71,7 +71,7 @@ def test_range_join_against_pairs(spark, group_by):
     found = range_join_avg(
         spark.createDataFrame(facts, "k string, t date, x int, y int"),
         spark.createDataFrame(starts, "k string, s date"),
-        "k", "t", "s", ["x", "y"], group_by,
+        "k", "t", "s", ["x", "y"], group_by, max_broadcast_rows=limit,
     )
     groups = {}
     for k, t, x, y in facts:

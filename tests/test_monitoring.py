@@ -6,6 +6,7 @@ import pytest
 
 from snapcredit.operators.drift import drift_report, ks_two_sample, population_moments, psi
 from snapcredit.operators.evaluation import auc_exact, delayed_auc, gini_by_split
+from snapcredit.operators.ranks import slice_cuts
 
 
 def column(spark, values):
@@ -139,3 +140,21 @@ def test_delayed_auc(spark):
     assert [tuple(r) for r in delayed_auc(predictions, labels, "score").collect()] == [
         (d(2023, 1, 1), 1.0, 1, 1)
     ]
+
+
+def test_slices_grow_with_the_rows(spark):
+    df = spark.range(20_000).selectExpr("cast(id % 5000 as double) as x")
+    assert slice_cuts(df, ["x"], 20_000) == {"x": [0.0]}
+    cuts = slice_cuts(df, ["x"], 20_000, slices=10)["x"]
+    assert len(cuts) == 9
+    for i, cut in enumerate(cuts, 1):
+        assert cut / 5000 == pytest.approx(i / 10, abs=0.03)
+    # as for four billion rows: a sample, still balanced
+    many = slice_cuts(df, ["x"], 4_000_000_000)["x"]
+    assert many == [0.0] or len(many) <= 4_000
+
+
+def test_many_slices(spark):
+    df = spark.range(5_000).selectExpr("cast(id as double) as x", "cast(id % 3 = 0 as int) as label")
+    few, many = (auc_exact(df, "x", slices=n).first().auc for n in (1, 2_000))
+    assert few == pytest.approx(many)
