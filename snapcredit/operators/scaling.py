@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,13 @@ class Scaler:
     mean: dict[str, float]
     deviation: dict[str, float]
 
+    def stage(self, suffix: str = "_scaled") -> SQLTransformer:
+        """The fitted scaler as a pipeline stage, saved and loaded with the model that needs it."""
+        scaled = [
+            f"(`{c}` - {self.mean[c]!r}D) / {self.deviation[c]!r}D AS `{c}{suffix}`" for c in self.mean
+        ]
+        return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
+
 
 def fit_scaler(train: DataFrame, columns: Sequence[str]) -> Scaler:
     """One aggregation over the training set. A column without spread keeps its scale."""

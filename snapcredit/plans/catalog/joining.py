@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapcredit.functions.dates import snapshot_of
-from snapcredit.operators.aggregates import label_ratio, multi_avg
+from snapcredit.operators.aggregates import columns_like, corr_matrix, label_ratio, multi_avg
 from snapcredit.operators.credit import create_label, delinquency, vintage_bad_rate
 from snapcredit.operators.joins import asof_latest, delayed_label_join, label_join, range_join_avg
+from snapcredit.operators.quality import quality_counters
 from snapcredit.plans.catalog.base import (
     LEDGER,
     ORDERS_BY_MONTH,
@@ -16,6 +17,7 @@ from snapcredit.plans.catalog.base import (
     ledger,
     orders_by_month,
     query,
+    rounded,
     table,
 )
 
@@ -30,6 +32,23 @@ def delinquency_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delinquency(ledger(spark, sf_dir))
 
 
+@query(
+    "quality_counters_ledger",
+    f"""WITH {LEDGER}
+    SELECT snapshot_date, count(*) AS n_rows, count(*) FILTER (dpd IS NULL) AS never_due,
+           count(*) FILTER (installments_missed > 0) AS behind, count(*) FILTER (dpd >= 30) AS late
+    FROM loans GROUP BY 1""",
+)
+def quality_counters_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overdue amounts that were never due stay visible here: their days past due are unknown."""
+    checks = {
+        "never_due": F.col("dpd").isNull(),
+        "behind": F.col("installments_missed") > 0,
+        "late": F.col("dpd") >= 30,
+    }
+    return quality_counters(delinquency(ledger(spark, sf_dir)), checks, by=["snapshot_date"])
+
+
 @query("label_store", f"WITH {LEDGER} SELECT * FROM labels_gold")
 def label_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return create_label(delinquency(ledger(spark, sf_dir)))
@@ -272,6 +291,23 @@ def multi_avg_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supplier_months(spark, sf_dir)
 
 
+AVERAGES = [f"{m}_avg" for m in WHOLE_MEASURES]
+
+
+@query(
+    "corr_matrix_by_suffix",
+    f"WITH {SUPPLIER_MONTHS} "
+    + " UNION ALL ".join(
+        f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 6) AS corr FROM supplier_months"
+        for x in AVERAGES
+        for y in AVERAGES
+    ),
+)
+def corr_matrix_by_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    averaged = supplier_months(spark, sf_dir)
+    return rounded(corr_matrix(averaged, columns_like(averaged, suffix="_avg")), 6, "corr")
+
+
 @query(
     "label_join",
     f"""WITH {LEDGER}, {SUPPLIER_MONTHS},

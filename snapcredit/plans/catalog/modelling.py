@@ -21,9 +21,11 @@ from snapcredit.models.training import (
     sample_space,
     split_stats,
 )
+from snapcredit.operators.aggregates import columns_like
 from snapcredit.operators.credit import create_label, delinquency
 from snapcredit.operators.evaluation import auc_exact
 from snapcredit.operators.splits import training_sets
+from snapcredit.plans import scorecard
 from snapcredit.plans.catalog.base import LEDGER, ORDERS_BY_MONTH, exact_sum, ledger, orders_by_month, query
 from snapcredit.plans.catalog.features import BUCKET
 from snapcredit.plans.catalog.joining import supplier_months
@@ -119,6 +121,19 @@ def batch_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrow_scores(scored, "gbt_1", ["loan_id", "Customer_ID", "snapshot_date"])
 
 
+@query("scorecard")
+def scorecard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card of a short cross-validated search on the fourteen months before a date."""
+    labels = create_label(delinquency(ledger(spark, sf_dir)))
+    features = supplier_months(spark, sf_dir)
+    path = scratch_path(spark, "scorecard_sets")
+    stored = scorecard.window_sets(labels, features, "2001-01-01", path, ["loan_id", "snapshot_date"])
+    space = CV_GBT_SPACE | {"maxIter": [3, 5]}
+    columns = columns_like(features, suffix="_avg")
+    found = scorecard.train_scorecard(stored, columns, n_trials=2, space=space)
+    return scorecard.model_card(found.model, stored, "credit_model_2001_01_01")
+
+
 CANDIDATES = f"""WITH {ORDERS_BY_MONTH},
 candidates AS (
   SELECT o_orderpriority AS model_name, year(snapshot_date) AS year,

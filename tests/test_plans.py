@@ -48,8 +48,8 @@ def test_single_partition_only_for_totals(plans):
     # a row each: profiles, correlations, ends of the spine, one AUC, one champion
     single = {n for n, p in plans.items() if "Exchange SinglePartition" in p}
     assert single <= {
-        "nonnull_profile", "describe_profile", "corr_matrix", "month_spine", "population_moments",
-        "auc_exact", "model_champion",
+        "nonnull_profile", "describe_profile", "corr_matrix", "corr_matrix_by_suffix", "month_spine",
+        "population_moments", "auc_exact", "model_champion",
     }
 
 
