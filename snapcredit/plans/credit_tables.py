@@ -32,9 +32,9 @@ OCCUPATIONS = [
 ]
 CREDIT_MIXES = ["Bad", "Good", "Standard", "Unknown"]
 PAYMENT_BEHAVIOURS = [
-    f"{spent}_spent_{value}_value_payments"
-    for spent in ("High", "Low")
-    for value in ("Large", "Medium", "Small")
+    "High_spent_Large_value_payments", "High_spent_Medium_value_payments",
+    "High_spent_Small_value_payments", "Low_spent_Large_value_payments",
+    "Low_spent_Medium_value_payments", "Low_spent_Small_value_payments",
 ]
 LOAN_TYPES = [
     "Auto Loan", "Credit-Builder Loan", "Debt Consolidation Loan", "Home Equity Loan",
