@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapcredit.session import scratch_path
@@ -72,3 +75,40 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_path(df.sparkSession, "checkpoints"))
     return df.checkpoint()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library along, so executors need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    # Spark copies the archive from the driver to the executors.
+    archive = Path(tempfile.mkdtemp(prefix="snapcredit-")) / "snapcredit.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, task: Callable, schema: str) -> DataFrame:
+    """`df.mapInArrow`, with the library sent along."""
+    ship(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
+def group_arrow(left: DataFrame, right: DataFrame, key: Sequence[str], task: Callable, schema: str) -> DataFrame:
+    """The groups of both frames with equal keys, as Arrow tables, with the library sent along."""
+    ship(left.sparkSession)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(task, schema)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written once as a table in the shared folder and read from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

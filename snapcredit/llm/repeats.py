@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import text_chunks
+from snapcredit.llm.common import map_arrow, stored, text_chunks
 from snapcredit.llm.rolling import BYTE_CODES, PrefixHash, segments, word_codes
 
 #: Cells of the merged sketch: 2 ** 28, one bit each when broadcast, so 32 MB at any size of corpus.
@@ -46,16 +46,11 @@ def cells_of(anchor: np.ndarray, bits: int) -> np.ndarray:
     return (anchor >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def merged_sketch(texts: DataFrame, unit: str, window: int, gram: int, bits: int) -> bytes:
-    """One bit per cell: set if the cell was met at least twice. At most 2 ** bits bits reach the driver."""
+def repeated_cells(cells: DataFrame, bits: int) -> bytes:
+    """Merge of partition sketches (cell, n): one bit per cell, set if it was met at least twice.
 
-    def count(batches):
-        for _, _, _, (_, _, anchor, _) in segment_rows(batches, unit, window, gram):
-            cell, n = np.unique(cells_of(anchor, bits), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
-
-    sketches = texts.select("text").mapInArrow(count, "cell long, n long")
-    twice = sketches.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1")
+    At most 2 ** bits bits reach the driver."""
+    twice = cells.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1")
     # Spark's bitmap functions number positive values from 1.
     bit = F.col("cell") + 1
     maps = twice.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
@@ -67,6 +62,21 @@ def merged_sketch(texts: DataFrame, unit: str, window: int, gram: int, bits: int
     return bytes(merged)
 
 
+def partition_sketch(hashes: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Cells of some hashes and how often each was met."""
+    cell, n = np.unique(cells_of(hashes, bits), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
+
+
+def in_sketch(sketch: bytes, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the cell of each hash was met at least twice."""
+    cell = cells_of(hashes, bits)
+    return (np.frombuffer(sketch, np.uint8)[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+
+
+SKETCH_SCHEMA = "cell long, n long"
+
+
 def repeated_segments(
     texts: DataFrame, unit: str, window: int, gram: int, bits: int = SKETCH_BITS
 ) -> DataFrame:
@@ -75,13 +85,17 @@ def repeated_segments(
     texts: of `keyed_texts`. Returns doc_id, text_hash, anchor and content (hashes of the anchor and of
     the whole segment), start (symbol) and n (windows).
     """
-    sketch = texts.sparkSession.sparkContext.broadcast(merged_sketch(texts, unit, window, gram, bits))
+
+    def count(batches):
+        for _, _, _, (_, _, anchor, _) in segment_rows(batches, unit, window, gram):
+            yield partition_sketch(anchor, bits)
+
+    counts = map_arrow(texts.select("text"), count, SKETCH_SCHEMA)
+    sketch = texts.sparkSession.sparkContext.broadcast(repeated_cells(counts, bits))
 
     def look_up(batches):
-        known = np.frombuffer(sketch.value, np.uint8)
         for batch, codes, starts, (first, n, anchor, owner) in segment_rows(batches, unit, window, gram):
-            bit = cells_of(anchor, bits)
-            keep = (known[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+            keep = in_sketch(sketch.value, anchor, bits)
             if not keep.any():
                 continue
             first, n, anchor, owner = first[keep], n[keep], anchor[keep], owner[keep]
@@ -101,22 +115,26 @@ def repeated_segments(
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, text_hash int, anchor long, content long, start int, n int"
-    return texts.mapInArrow(look_up, schema)
+    return map_arrow(texts, look_up, schema)
 
 
-def contents_of(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Equal segments as one: anchor, content, n, copies, and the first place (doc_id, start, text_hash).
+def with_copies(found: DataFrame) -> DataFrame:
+    """Each segment with `copies`, the segments equal to it, itself included, and `rivals`, the different
+    segments of its anchor; segments alone in their anchor are left out. Kept as a table: all that
+    follows reads it instead of the texts."""
+    contents = found.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("copies"))
+    rivals = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("rivals"))
+    contents = contents.join(rivals, "anchor").where("copies > 1 or rivals > 1")
+    return stored(found.join(contents, ["anchor", "content"]), "segments")
 
-    The second frame has those contents that share their anchor with another one, so that single
-    windows have to be compared; `rivals` counts the contents of the anchor. A null doc_id comes first.
-    """
-    contents = found.groupBy("anchor", "content").agg(
+
+def first_copies(segments: DataFrame) -> DataFrame:
+    """One row for equal segments of `with_copies`: the place with the smallest (doc_id, start), null first."""
+    firsts = segments.groupBy("anchor", "content").agg(
         F.min(F.struct("doc_id", "start", "text_hash")).alias("first"),
-        F.min("n").alias("n"),
-        F.count(F.lit(1)).alias("copies"),
+        *(F.min(c).alias(c) for c in ("n", "copies", "rivals")),
     )
-    rivals = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("rivals")).where("rivals > 1")
-    return contents, contents.join(rivals, "anchor").select("*", "first.doc_id", "first.start", "first.text_hash")
+    return firsts.select("*", "first.doc_id", "first.start", "first.text_hash")
 
 
 def by_document(rows: DataFrame, *columns: str) -> DataFrame:

@@ -9,13 +9,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import keyed_texts, text_chunks
+from snapcredit.llm.common import keyed_texts, map_arrow, text_chunks
 from snapcredit.llm.repeats import (
     SKETCH_BITS,
+    SKETCH_SCHEMA,
     by_document,
     chunk_codes,
-    contents_of,
+    first_copies,
+    in_sketch,
+    partition_sketch,
+    repeated_cells,
     repeated_segments,
+    with_copies,
     with_rows,
 )
 from snapcredit.llm.rolling import BASE_A, BASE_B, mix, window_hashes
@@ -26,34 +31,49 @@ WINDOW = 20
 ANCHOR = 6
 
 
-def _windows(window: int, doc_type: str):
-    """Hash pairs of the windows in the listed segments of each text."""
+def _listed_windows(batch: pa.RecordBatch, raw: np.ndarray, lengths: np.ndarray, window: int):
+    """Text, place and hash pair of each window in the listed segments of some texts."""
+    codes, starts, _ = chunk_codes(raw, lengths, "words")
+    low, high = window_hashes(codes, window, BASE_A), window_hashes(mix(codes), window, BASE_B)
+    lists = batch.column("rows")
+    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    start, n = (lists.flatten().field(c).to_numpy().astype(np.int64) for c in ("start", "n"))
+    # A segment's windows: its start and the n - 1 places after it.
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
+    owner = np.repeat(owner, n)
+    at = place + starts[owner]
+    return owner, place, low[at], high[at]
+
+
+def repeated_listed_windows(texts: DataFrame, lists: DataFrame, window: int, bits: int) -> DataFrame:
+    """Windows of listed segments that a sketch of all of them estimates to repeat."""
+    rows = with_rows(texts, lists, "inner")
+
+    def count(batches):
+        for chunk in text_chunks(batches):
+            yield partition_sketch(_listed_windows(*chunk, window)[2], bits)
+
+    counts = map_arrow(rows, count, SKETCH_SCHEMA)
+    sketch = texts.sparkSession.sparkContext.broadcast(repeated_cells(counts, bits))
 
     def expand(batches):
-        for batch, raw, lengths in text_chunks(batches):
-            codes, starts, _ = chunk_codes(raw, lengths, "words")
-            low, high = window_hashes(codes, window, BASE_A), window_hashes(mix(codes), window, BASE_B)
-            lists = batch.column("rows")
-            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            flat = lists.flatten()
-            start, n = (flat.field(c).to_numpy().astype(np.int64) for c in ("start", "n"))
-            # Positions of every window: each segment's start and the n - 1 places after it.
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
-            owner = np.repeat(owner, n)
-            at = place + starts[owner]
-            rows = pa.array(owner)
+        for chunk in text_chunks(batches):
+            owner, place, low, high = _listed_windows(*chunk, window)
+            keep = in_sketch(sketch.value, low, bits)
+            row = pa.array(owner[keep])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(rows),
-                    batch.column("text_hash").take(rows),
-                    pa.array(place.astype(np.int32)),
-                    pa.array(low[at].view(np.int64)),
-                    pa.array(high[at].view(np.int64)),
+                    chunk[0].column("doc_id").take(row),
+                    chunk[0].column("text_hash").take(row),
+                    pa.array(place[keep].astype(np.int32)),
+                    pa.array(low[keep].view(np.int64)),
+                    pa.array(high[keep].view(np.int64)),
                 ],
                 ["doc_id", "text_hash", "start", "low", "high"],
             )
 
-    return expand, f"doc_id {doc_type}, text_hash int, start int, low long, high long"
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    return map_arrow(rows, expand, f"doc_id {id_type}, text_hash int, start int, low long, high long")
 
 
 def _remove(window: int, schema: str, keep: Sequence[str]):
@@ -102,27 +122,28 @@ def drop_repeated_windows(
     doc_id is smaller than any. Windows are judged on the input. Rows that share doc_id and start tie,
     so an exactly repeated row loses nothing to its copy.
 
-    Every window is counted under its anchor in one merged count-min sketch, which overestimates; only
-    windows estimated to repeat are grouped, by 128-bit hashes of their words. Equal segments are
-    grouped first, whole, so a hot passage is aggregated before any shuffle of its windows.
+    Every window is counted under its anchor in one merged count-min sketch, which overestimates; of the
+    segments it leaves, equal ones are grouped whole, so a hot passage is aggregated before any of its
+    windows is shuffled. The windows of the others are counted in a second sketch, and those estimated
+    to repeat are grouped exactly, by 128-bit hashes of their words.
 
     Returns doc_id, n_words, n_removed and kept_text (words joined by one space) for each row; null
     and empty texts have no words. Other columns are not carried.
     """
     texts = keyed_texts(docs, doc_id, text)
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    found = repeated_segments(texts, "words", window, anchor, sketch_bits)
-    contents, rivals = contents_of(found)
+    found = with_copies(repeated_segments(texts, "words", window, anchor, sketch_bits))
+    firsts = first_copies(found)
 
     # Copies of a segment after the first one repeat all its windows.
-    repeated = contents.where("copies > 1").select("anchor", "content", "first")
-    copies = found.join(repeated, ["anchor", "content"]).where(
+    repeated = firsts.where("copies > 1").select("anchor", "content", "first")
+    copies = found.where("copies > 1").join(repeated, ["anchor", "content"]).where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
     )
 
     # Windows of segments that differ but share their anchor are grouped one by one.
-    expand, schema = _windows(window, id_type)
-    windows = with_rows(texts, by_document(rivals, "start", "n"), "inner").mapInArrow(expand, schema)
+    lists = by_document(firsts.where("rivals > 1"), "start", "n")
+    windows = repeated_listed_windows(texts, lists, window, sketch_bits)
     place = F.struct("doc_id", "start")
     earliest = (
         windows.groupBy("low", "high")
@@ -140,4 +161,4 @@ def drop_repeated_windows(
     apply, schema = _remove(
         window, f"doc_id {id_type}, n_words long, n_removed long, kept_text string", ()
     )
-    return with_rows(texts, by_document(spans, "start", "n"), "left").mapInArrow(apply, schema)
+    return map_arrow(with_rows(texts, by_document(spans, "start", "n"), "left"), apply, schema)

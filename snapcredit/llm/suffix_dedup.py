@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import keyed_columns, keyed_texts, merge_spans, text_chunks
+from snapcredit.llm.common import keyed_columns, keyed_texts, map_arrow, merge_spans, stored, text_chunks
 from snapcredit.llm.repeats import (
     SKETCH_BITS,
     by_document,
-    contents_of,
+    first_copies,
     repeated_segments,
+    with_copies,
     with_rows,
 )
 from snapcredit.llm.rolling import BASE_A, BASE_B, BYTE_CODES, mix, window_hashes
@@ -242,24 +243,20 @@ def drop_repeated_strings(
     """
     texts = keyed_texts(docs, doc_id, text)
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    found = repeated_segments(texts, "bytes", length, anchor, sketch_bits)
-    contents, rivals = contents_of(found)
-    whole = found.join(contents.where("copies > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
+    found = with_copies(repeated_segments(texts, "bytes", length, anchor, sketch_bits))
+    whole = found.where("copies > 1")
+    rivals = first_copies(found.where("rivals > 1"))
 
     cut, schema = _cut(length, anchor, id_type)
     lists = by_document(rivals, "start", "n", "anchor", "copies", "rivals")
-    pieces = with_rows(texts, lists, "inner").mapInArrow(cut, schema)
+    pieces = stored(map_arrow(with_rows(texts, lists, "inner"), cut, schema), "suffixes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort, schema = _sort_bucket(length, id_type)
-    small = (
-        pieces.where(F.col("rivals") <= group)
-        .repartitionByRange(parts, "lead", "anchor")
-        .sortWithinPartitions("lead", "anchor")
-        .mapInArrow(sort, schema)
-    )
+    buckets = pieces.where(F.col("rivals") <= group).repartitionByRange(parts, "lead", "anchor")
+    small = map_arrow(buckets.sortWithinPartitions("lead", "anchor"), sort, schema)
 
     expand, schema = _hash_suffixes(length, id_type)
-    single = pieces.where(F.col("rivals") > group).mapInArrow(expand, schema)
+    single = map_arrow(pieces.where(F.col("rivals") > group), expand, schema)
     twice = single.groupBy("low", "high").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     large = single.where("copies = 1").join(twice, ["low", "high"], "left_semi")
 
@@ -275,4 +272,4 @@ def drop_repeated_strings(
         f"doc_id {id_type}{carried}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary",
         keep,
     )
-    return with_rows(source, by_document(spans, "start", "n"), "left").mapInArrow(apply, schema)
+    return map_arrow(with_rows(source, by_document(spans, "start", "n"), "left"), apply, schema)
