@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import let
+from snapcredit.llm.common import let, map_arrow
 
 CAPACITY = 2_048
 #: Items that are packed together; more of them would fill bins hardly better.
@@ -128,6 +128,5 @@ def pack(
         )
 
     id_type = docs.schema[doc_id].dataType.simpleString()
-    return items.repartition(parts).mapInArrow(
-        place, f"bin_id long, doc_id {id_type}, piece int, first_word long, n_words long, bin_words long"
-    )
+    schema = f"bin_id long, doc_id {id_type}, piece int, first_word long, n_words long, bin_words long"
+    return map_arrow(items.repartition(parts), place, schema)

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapcredit.llm.bpe import encode_decode
+from snapcredit.llm.html_text import extract_main_text
+from snapcredit.llm.licences import scan_licences
+from snapcredit.llm.neighbours import nearest
 from snapcredit.llm.packing import pack
 from snapcredit.llm.quality import quality_rules
 from snapcredit.llm.simhash import near_duplicates
 from snapcredit.llm.substring_dedup import drop_repeated_windows
 from snapcredit.llm.suffix_dedup import drop_repeated_strings
+from snapcredit.llm.token_counts import section_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +42,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return done.select(
+        "doc_id", "n_tokens", digest("ids").alias("ids_sha256"), digest("decoded").alias("decoded_sha256")
+    )
+
+
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"))
@@ -52,6 +71,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("licences")
+    return scan_licences(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.size(found).cast("long").alias("n_passages"),
+        F.array_join(F.array_sort(F.array_distinct(found["licence"])), ",").alias("licence_names"),
+        F.coalesce(F.get(found["line"], F.lit(0)), F.lit(-2)).cast("long").alias("first_line"),
+        F.coalesce(F.array_max(found["dice"]), F.lit(0.0)).alias("best_dice"),
+    )
+
+
 @query
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = drop_repeated_strings(table(spark, sf_dir, "documents"))
@@ -64,6 +95,17 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = drop_repeated_windows(table(spark, sf_dir, "documents"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapcredit.llm.components import connected_components
-from snapcredit.llm.common import checkpointed, keyed_texts, text_chunks
+from snapcredit.llm.common import checkpointed, keyed_texts, map_arrow, text_chunks
 from snapcredit.llm.rolling import word_spans
 
 SHINGLE = 4
@@ -55,7 +55,7 @@ def fingerprints(texts: DataFrame, shingle: int = SHINGLE, seed: int = SEED) ->
             )
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(sign, f"doc_id {id_type}, text_hash int, fp long")
+    return map_arrow(texts, sign, f"doc_id {id_type}, text_hash int, fp long")
 
 
 def trie_pairs(group: np.ndarray, part: np.ndarray, value: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,9 +207,7 @@ def fingerprint_links(fps: DataFrame, budget: int = BUDGET, subtree: int = SUBTR
         if sum(b.num_rows for b in held):
             yield run()
 
-    return (
-        dealt.repartition("walk").sortWithinPartitions("walk").mapInArrow(walk, "a long, b long").distinct()
-    )
+    return map_arrow(dealt.repartition("walk").sortWithinPartitions("walk"), walk, "a long, b long").distinct()
 
 
 def near_duplicates(

@@ -95,3 +95,65 @@ def components(docs, budget=4):
             root = find(f)
             smallest[root] = doc if smallest[root] is None else min(smallest[root], doc)
     return [(f"{f:016x}", smallest[find(f)]) for f in prints]
+
+
+def neighbours(rows, is_query, k=10):
+    """rows: (id, vector or None). query, rank, id and distance of the k nearest, by plain loops."""
+    use = {}
+    for i, v in rows:
+        if i is None or v is None or not len(v) or any(x is None or x != x or abs(x) == float("inf") for x in v):
+            continue
+        if any(v) and (i not in use or list(v) < use[i]):
+            use[i] = list(v)
+    out = []
+    for q, a in use.items():
+        if is_query(q):
+            near = sorted(
+                (sum((x - y) ** 2 for x, y in zip(a, b, strict=True)) ** 0.5, i)
+                for i, b in use.items()
+                if i != q and len(a) == len(b)
+            )[:k]
+            out += [(q, r + 1, i, d) for r, (d, i) in enumerate(near)]
+    return out
+
+
+def licences(text, templates, threshold):
+    """(line, licence, dice) of the passages of a text."""
+
+    def grams(passage):
+        words = re.findall("[a-z0-9]+", passage.lower())
+        return set(zip(words, words[1:], strict=False))
+
+    text = text or ""
+    lines = text.split("\n")
+    out = []
+    for line, passage in [(-1, text), *(enumerate(lines) if len(lines) > 1 else ())]:
+        own, best = grams(passage), None
+        for name, body in templates.items():
+            other = grams(body)
+            if other and own:
+                dice = 2 * len(own & other) / (len(own) + len(other))
+                if dice >= threshold and (best is None or (-dice, name) < (-best[2], best[1])):
+                    best = (line, name, dice)
+        out += [best] if best else []
+    return out
+
+
+def best_fit(sizes, sources, clusters, capacity):
+    """Bins as lists of items; every bin is looked at for every item."""
+    bins = []
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        fits = []
+        for b, items in enumerate(bins):
+            left = capacity - sum(sizes[j] for j in items)
+            clash = any(
+                (sources[i] >= 0 and sources[i] == sources[j]) or (clusters[i] >= 0 and clusters[i] == clusters[j])
+                for j in items
+            )
+            if left >= sizes[i] and not clash:
+                fits.append((left, b))
+        if fits:
+            bins[min(fits)[1]].append(i)
+        else:
+            bins.append([i])
+    return bins
