@@ -9,13 +9,14 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapcredit.session import scratch_path
 
 #: Bytes of text that a Python task works on at once; a longer document is worked on alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 17
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -55,6 +56,40 @@ def text_chunks(
             first = last
 
 
+def packed(texts: DataFrame) -> DataFrame:
+    """The frame with column text compressed, for a shuffle; `unpacked` undoes it inside a task."""
+
+    names = texts.columns
+    at = names.index("text")
+
+    def pack(batches):
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            small = [compress(t) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            columns = [*batch.columns[:at], pa.array(small, pa.binary()), *batch.columns[at + 1 :]]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = ", ".join(
+        f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in texts.schema
+    )
+    return map_arrow(texts, pack, schema)
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of about `limit` bytes with their texts as bytes again."""
+    restore = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        at, first, size, held = batch.schema.names.index("text"), 0, 0, []
+        for row, small in enumerate(batch.column("text").to_pylist()):
+            held.append(restore(small))
+            size += len(held[-1])
+            if size >= limit or row == batch.num_rows - 1:
+                part = batch.slice(first, len(held))
+                columns = [*part.columns[:at], pa.array(held, pa.large_binary()), *part.columns[at + 1 :]]
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
+                first, size, held = row + 1, 0, []
+
+
 def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of the union of half-open spans; touching spans join."""
     if not len(starts):

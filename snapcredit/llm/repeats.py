@@ -119,27 +119,23 @@ def repeated_segments(
 
 
 def with_copies(found: DataFrame) -> DataFrame:
-    """Each segment with `copies`, the segments equal to it, itself included, and `rivals`, the different
-    segments of its anchor; segments alone in their anchor are left out. Kept as a table: all that
-    follows reads it instead of the texts."""
-    contents = found.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("copies"))
+    """Each segment with `copies`, the segments equal to it, itself included, whether it is the `first` of
+    them, the one with the smallest (doc_id, start), null first, and `rivals`, the different segments of
+    its anchor. Segments alone in their anchor are left out. Kept as a table: all that follows reads it
+    instead of the texts."""
+    contents = found.groupBy("anchor", "content").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "start")).alias("place")
+    )
     rivals = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("rivals"))
     contents = contents.join(rivals, "anchor").where("copies > 1 or rivals > 1")
-    return stored(found.join(contents, ["anchor", "content"]), "segments")
-
-
-def first_copies(segments: DataFrame) -> DataFrame:
-    """One row for equal segments of `with_copies`: the place with the smallest (doc_id, start), null first."""
-    firsts = segments.groupBy("anchor", "content").agg(
-        F.min(F.struct("doc_id", "start", "text_hash")).alias("first"),
-        *(F.min(c).alias(c) for c in ("n", "copies", "rivals")),
-    )
-    return firsts.select("*", "first.doc_id", "first.start", "first.text_hash")
+    first = F.col("doc_id").eqNullSafe(F.col("place.doc_id")) & (F.col("start") == F.col("place.start"))
+    joined = found.join(contents, ["anchor", "content"]).withColumn("first", first)
+    return stored(joined.drop("place", "content"), "segments")
 
 
 def by_document(rows: DataFrame, *columns: str) -> DataFrame:
-    """The rows of a document as one list, at most as long as the document."""
-    return rows.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(*columns)).alias("rows"))
+    """The rows of a document as one list without repeats, at most as long as the document."""
+    return rows.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct(*columns)).alias("rows"))
 
 
 def with_rows(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:

@@ -16,6 +16,7 @@ U64 = np.uint64
 # Odd multipliers of the polynomial hashes, and the constants of the 64-bit finaliser (public splitmix64).
 BASE_A = U64(0x9E3779B97F4A7C15)
 BASE_B = U64(0xD1342543DE82EF95)
+HIGH, LOW = U64(0xFFFFFFFF00000000), U64(0xFFFFFFFF)
 MIX_1 = U64(0xBF58476D1CE4E5B9)
 MIX_2 = U64(0x94D049BB133111EB)
 
@@ -61,19 +62,16 @@ def window_hashes(codes: np.ndarray, length: int, base: np.uint64 = BASE_A) -> n
 
 
 def leftmost_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    """Index of the leftmost smallest value in `values[i:i + width]` for each i."""
-    count = len(values) - width + 1
-    best, at, span = values, np.arange(len(values), dtype=np.int32), 1
+    """Index of the leftmost value in `values[i:i + width]` with the smallest high half, for each i."""
+    # The index stands in the low half, so a plain minimum finds the value and, of equal ones, the first.
+    best = (values & HIGH) | np.arange(len(values), dtype=U64)
+    count, span = len(values) - width + 1, 1
     while span * 2 <= width:
-        right = best[span:] < best[:-span]
-        at = np.where(right, at[span:], at[:-span])
-        best = np.where(right, best[span:], best[:-span])
+        best = np.minimum(best[:-span], best[span:])
         span *= 2
     shift = width - span
-    if shift:
-        right = best[shift : shift + count] < best[:count]
-        return np.where(right, at[shift : shift + count], at[:count])
-    return at[:count]
+    best = np.minimum(best[:count], best[shift : shift + count])
+    return (best & LOW).astype(np.int64)
 
 
 def segments(

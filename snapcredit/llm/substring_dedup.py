@@ -9,16 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import keyed_texts, map_arrow, text_chunks
+from snapcredit.llm.common import keyed_texts, map_arrow, packed, text_chunks, unpacked
 from snapcredit.llm.repeats import (
     SKETCH_BITS,
-    SKETCH_SCHEMA,
     by_document,
     chunk_codes,
-    first_copies,
-    in_sketch,
-    partition_sketch,
-    repeated_cells,
     repeated_segments,
     with_copies,
     with_rows,
@@ -45,40 +40,32 @@ def _listed_windows(batch: pa.RecordBatch, raw: np.ndarray, lengths: np.ndarray,
     return owner, place, low[at], high[at]
 
 
-def repeated_listed_windows(texts: DataFrame, lists: DataFrame, window: int, bits: int) -> DataFrame:
-    """Windows of listed segments that a sketch of all of them estimates to repeat."""
-    rows = with_rows(texts, lists, "inner")
-
-    def count(batches):
-        for chunk in text_chunks(batches):
-            yield partition_sketch(_listed_windows(*chunk, window)[2], bits)
-
-    counts = map_arrow(rows, count, SKETCH_SCHEMA)
-    sketch = texts.sparkSession.sparkContext.broadcast(repeated_cells(counts, bits))
+def listed_windows(texts: DataFrame, lists: DataFrame, window: int) -> DataFrame:
+    """One row per window of listed segments: its document, start and hash pair."""
 
     def expand(batches):
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(unpacked(batches)):
             owner, place, low, high = _listed_windows(*chunk, window)
-            keep = in_sketch(sketch.value, low, bits)
-            row = pa.array(owner[keep])
+            row = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [
                     chunk[0].column("doc_id").take(row),
                     chunk[0].column("text_hash").take(row),
-                    pa.array(place[keep].astype(np.int32)),
-                    pa.array(low[keep].view(np.int64)),
-                    pa.array(high[keep].view(np.int64)),
+                    pa.array(place.astype(np.int32)),
+                    pa.array(low.view(np.int64)),
+                    pa.array(high.view(np.int64)),
                 ],
                 ["doc_id", "text_hash", "start", "low", "high"],
             )
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    return map_arrow(rows, expand, f"doc_id {id_type}, text_hash int, start int, low long, high long")
+    schema = f"doc_id {id_type}, text_hash int, start int, low long, high long"
+    return map_arrow(with_rows(texts, lists, "inner"), expand, schema)
 
 
 def _remove(window: int, schema: str, keep: Sequence[str]):
     def apply(batches):
-        for batch in batches:
+        for batch in unpacked(batches):
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             lists = batch.column("rows").to_pylist()
             n_words, n_removed, kept = [], [], []
@@ -124,8 +111,8 @@ def drop_repeated_windows(
 
     Every window is counted under its anchor in one merged count-min sketch, which overestimates; of the
     segments it leaves, equal ones are grouped whole, so a hot passage is aggregated before any of its
-    windows is shuffled. The windows of the others are counted in a second sketch, and those estimated
-    to repeat are grouped exactly, by 128-bit hashes of their words.
+    windows is shuffled. The windows of segments that only share their anchor are grouped exactly, by
+    128-bit hashes of their words.
 
     Returns doc_id, n_words, n_removed and kept_text (words joined by one space) for each row; null
     and empty texts have no words. Other columns are not carried.
@@ -133,17 +120,14 @@ def drop_repeated_windows(
     texts = keyed_texts(docs, doc_id, text)
     id_type = texts.schema["doc_id"].dataType.simpleString()
     found = with_copies(repeated_segments(texts, "words", window, anchor, sketch_bits))
-    firsts = first_copies(found)
+    small = packed(texts)
 
     # Copies of a segment after the first one repeat all its windows.
-    repeated = firsts.where("copies > 1").select("anchor", "content", "first")
-    copies = found.where("copies > 1").join(repeated, ["anchor", "content"]).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
-    )
+    copies = found.where("not first")
 
     # Windows of segments that differ but share their anchor are grouped one by one.
-    lists = by_document(firsts.where("rivals > 1"), "start", "n")
-    windows = repeated_listed_windows(texts, lists, window, sketch_bits)
+    lists = by_document(found.where("first and rivals > 1"), "start", "n")
+    windows = listed_windows(small, lists, window)
     place = F.struct("doc_id", "start")
     earliest = (
         windows.groupBy("low", "high")
@@ -161,4 +145,4 @@ def drop_repeated_windows(
     apply, schema = _remove(
         window, f"doc_id {id_type}, n_words long, n_removed long, kept_text string", ()
     )
-    return map_arrow(with_rows(texts, by_document(spans, "start", "n"), "left"), apply, schema)
+    return map_arrow(with_rows(small, by_document(spans, "start", "n"), "left"), apply, schema)

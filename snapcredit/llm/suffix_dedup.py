@@ -9,11 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import keyed_columns, keyed_texts, map_arrow, merge_spans, stored, text_chunks
+from snapcredit.llm.common import keyed_columns, keyed_texts, map_arrow, merge_spans, packed, stored, text_chunks, unpacked
 from snapcredit.llm.repeats import (
     SKETCH_BITS,
     by_document,
-    first_copies,
     repeated_segments,
     with_copies,
     with_rows,
@@ -35,25 +34,37 @@ def equal_suffixes(data: np.ndarray, suffix: np.ndarray, length: int) -> np.ndar
     """Whether `data[s:s + length]` equals that of another suffix s.
 
     Multikey quicksort with eight bytes as one key: a part that shares its keys so far is sorted by the
-    next eight bytes, and a suffix that is alone in its part has no equal and drops out.
+    next eight bytes. A suffix that is alone in its part has no equal and drops out; a part of two is
+    compared to its end instead of sorted.
     """
     repeated = np.zeros(len(suffix), bool)
     keys = np.zeros(max(len(data) - 7, 0), np.uint64)
     for j in range(8):
         keys = (keys << np.uint64(8)) | data[j : len(keys) + j]
-    alive, part = np.arange(len(suffix)), np.zeros(len(suffix), np.int64)
-    depth = 0
-    while depth < length and len(alive):
-        # The last key may overlap the one before, so that no byte after the suffix is read.
-        depth = min(depth, length - 8)
+    # The last key overlaps the one before, so that no byte after the suffix is read.
+    depths = [*range(0, length - 8, 8), length - 8]
+    alive, part = np.arange(len(suffix)), None
+    for at, depth in enumerate(depths):
         key = keys[suffix[alive] + depth]
-        order = np.lexsort((key, part))
-        alive, part, key = alive[order], part[order], key[order]
-        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])])
-        part = np.cumsum(fresh) - 1
-        shared = np.bincount(part)[part] > 1
-        alive, part = alive[shared], part[shared]
-        depth += 8
+        order = np.argsort(key) if part is None else np.lexsort((key, part))
+        alive, key = alive[order], key[order]
+        fresh = np.ones(len(alive), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        if part is not None:
+            part = part[order]
+            fresh[1:] |= part[1:] != part[:-1]
+        first = np.flatnonzero(fresh)
+        size = np.diff(np.append(first, len(alive)))
+        one, two = alive[first[size == 2]], alive[first[size == 2] + 1]
+        for rest in depths[at + 1 :]:
+            same = keys[suffix[one] + rest] == keys[suffix[two] + rest]
+            one, two = one[same], two[same]
+        repeated[one] = repeated[two] = True
+        large = size > 2
+        keep = np.repeat(large, size)
+        alive, part = alive[keep], np.repeat(np.arange(large.sum()), size[large])
+        if not len(alive):
+            break
     repeated[alive] = True
     return repeated
 
@@ -62,7 +73,7 @@ def _cut(length: int, anchor: int, doc_type: str):
     """The bytes of listed segments, with the leading bytes of the suffix at their anchor."""
 
     def cut(batches):
-        for batch, raw, lengths in text_chunks(batches):
+        for batch, raw, lengths in text_chunks(unpacked(batches)):
             base = np.cumsum(lengths) - lengths
             lists = batch.column("rows")
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
@@ -186,7 +197,7 @@ def _hash_suffixes(length: int, doc_type: str):
 
 def _remove(length: int, schema: str, keep: Sequence[str]):
     def apply(batches):
-        for batch in batches:
+        for batch in unpacked(batches):
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             lists = batch.column("rows")
             kept, spans = [], []
@@ -244,16 +255,16 @@ def drop_repeated_strings(
     texts = keyed_texts(docs, doc_id, text)
     id_type = texts.schema["doc_id"].dataType.simpleString()
     found = with_copies(repeated_segments(texts, "bytes", length, anchor, sketch_bits))
+    small = packed(docs.select(*keep, *keyed_columns(doc_id, text)))
     whole = found.where("copies > 1")
-    rivals = first_copies(found.where("rivals > 1"))
 
     cut, schema = _cut(length, anchor, id_type)
-    lists = by_document(rivals, "start", "n", "anchor", "copies", "rivals")
-    pieces = stored(map_arrow(with_rows(texts, lists, "inner"), cut, schema), "suffixes")
+    lists = by_document(found.where("first and rivals > 1"), "start", "n", "anchor", "copies", "rivals")
+    pieces = stored(map_arrow(with_rows(small, lists, "inner"), cut, schema), "suffixes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort, schema = _sort_bucket(length, id_type)
     buckets = pieces.where(F.col("rivals") <= group).repartitionByRange(parts, "lead", "anchor")
-    small = map_arrow(buckets.sortWithinPartitions("lead", "anchor"), sort, schema)
+    bucketed = map_arrow(buckets.sortWithinPartitions("lead", "anchor"), sort, schema)
 
     expand, schema = _hash_suffixes(length, id_type)
     single = map_arrow(pieces.where(F.col("rivals") > group), expand, schema)
@@ -262,14 +273,13 @@ def drop_repeated_strings(
 
     spans = (
         whole.select("doc_id", "text_hash", "start", "n")
-        .unionByName(small)
+        .unionByName(bucketed)
         .unionByName(large.select("doc_id", "text_hash", "start", F.lit(1).alias("n")))
     )
-    source = docs.select(*keep, *keyed_columns(doc_id, text)) if keep else texts
     carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     apply, schema = _remove(
         length,
         f"doc_id {id_type}{carried}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary",
         keep,
     )
-    return map_arrow(with_rows(source, by_document(spans, "start", "n"), "left"), apply, schema)
+    return map_arrow(with_rows(small, by_document(spans, "start", "n"), "left"), apply, schema)

@@ -84,7 +84,7 @@ def test_equal_windows_lie_in_equal_segments():
 
 
 def test_sliding_minimum():
-    values = np.random.default_rng(1).integers(0, 9, 300)
+    values = np.random.default_rng(1).integers(0, 9, 300).astype(np.uint64) << np.uint64(32)
     for width in (1, 2, 5, 8, 13):
         expected = [i + int(np.argmin(values[i : i + width])) for i in range(len(values) - width + 1)]
         assert leftmost_minimum(values, width).tolist() == expected
