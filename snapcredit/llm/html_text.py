@@ -51,7 +51,8 @@ TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*>",
+    r"|<[!?/][^>]*>"
+    r"|<[!?/a-zA-Z][^>]*\Z",
     re.S,
 )
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)

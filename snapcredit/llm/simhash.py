@@ -8,9 +8,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.components import connected_components
 from snapcredit.llm.common import checkpointed, keyed_texts, map_arrow, text_chunks
-from snapcredit.llm.rolling import word_spans
+from snapcredit.llm.components import connected_components
 
 SHINGLE = 4
 SEED = 42
@@ -23,34 +22,43 @@ FRONTIER = 1 << 19
 ONE = np.uint64(1)
 
 
+def byte_lanes() -> np.ndarray:
+    """For each byte value its eight bits, highest first, as eight bytes of one word: counters that add up."""
+    bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
+    return bits.view(np.uint64).ravel()
+
+
+LANES = byte_lanes()
+
+
+def fingerprint(text: bytes, shingle: int, seed: int) -> int:
+    """SimHash of a text in UTF-8, as an unsigned number."""
+    words = text.lower().split()  # bytes: A-Z only, and just the ASCII blanks
+    if not words:
+        return 0
+    width = min(shingle, len(words))
+    grams = map(b" ".join, zip(*(words[k : len(words) - width + 1 + k] for k in range(width)), strict=True))
+    digests = np.frombuffer(b"".join([xxhash.xxh64_digest(g, seed) for g in grams]), np.uint8).reshape(-1, 8)
+    # A lane counts to 255 at most before it is taken out.
+    lanes = np.add.reduceat(LANES[digests], np.arange(0, len(digests), 255), axis=0)
+    ones = lanes.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(digests)).tobytes(), "big")
+
+
 def fingerprints(texts: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """doc_id, text_hash and the fingerprint (as a signed long) of each row of `keyed_texts`."""
 
     def sign(batches):
         for batch, raw, lengths in text_chunks(batches):
-            # Lower-case A-Z, then one blank between words: a shingle is then one stretch of bytes.
             ends = np.cumsum(lengths)
-            lower = raw.tobytes().lower()
-            flat = [lower[e - n : e].split() for e, n in zip(ends, lengths, strict=True)]
-            counts = np.array([max(len(w) - shingle + 1, min(len(w), 1)) for w in flat])
-            hashes = []
-            for words in flat:
-                line = b" ".join(words)
-                start, size = word_spans(np.frombuffer(line, np.uint8))
-                stop = start + size
-                width = min(shingle, len(words))
-                bounds = zip(start.tolist(), stop[width - 1 :].tolist(), strict=False) if words else ()
-                hashes += [xxhash.xxh64_intdigest(line[a:b], seed) for a, b in bounds]
-            value = np.zeros(len(flat), np.uint64)
-            some = np.flatnonzero(counts)
-            if len(some):
-                grid = np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8)
-                bits = np.unpackbits(grid, axis=1, bitorder="little")
-                ones = np.add.reduceat(bits, (np.cumsum(counts) - counts)[some], axis=0, dtype=np.int64)
-                major = 2 * ones > counts[some, None]
-                value[some] = np.packbits(major, axis=1, bitorder="little").view(np.uint64).ravel()
+            data = raw.tobytes()
+            value = [fingerprint(data[e - n : e], shingle, seed) for e, n in zip(ends, lengths, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(value.view(np.int64))],
+                [
+                    batch.column("doc_id"),
+                    batch.column("text_hash"),
+                    pa.array(np.array(value, np.uint64).view(np.int64)),
+                ],
                 ["doc_id", "text_hash", "fp"],
             )
 
