@@ -114,15 +114,14 @@ def trie_pairs(group: np.ndarray, part: np.ndarray, value: np.ndarray, budget: i
         n = d - (count[d] - count[c])
         cross = ~same
         children = [
-            (a, m, c, n, bits, (m > a) & (n > c)),
-            (m, b, n, d, bits, (b > m) & (d > n)),
-            (a, m, n, d, bits + 1, (m > a) & (d > n)),
-            (m, b, c, n, bits + 1, (b > m) & (n > c) & cross),
+            (a, m, c, n, bits),
+            (m, b, n, d, bits),
+            (a, m, n, d, bits + 1),
+            (m[cross], b[cross], c[cross], n[cross], bits[cross] + 1),
         ]
-        for p, q, r, s, k, some in children:
-            some = some & (k <= budget)
-            if some.any():
-                stack.append((depth + 1, *(x[some] for x in (p, q, r, s, k))))
+        p, q, r, t, k = (np.concatenate(x) for x in zip(*children, strict=True))
+        some = (q > p) & (t > r) & (k <= budget)
+        stack.append((depth + 1, *(x[some] for x in (p, q, r, t, k))))
     none = np.empty(0, np.int64)
     return (np.concatenate(x) if x else none for x in (left, right))
 
