@@ -53,6 +53,15 @@ def tile_bounds(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(middle - slack, 0), middle + slack
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distance of each row of a to the same row of b; squares are added in order, as SQL does."""
+    total = np.zeros(len(a))
+    for k in range(a.shape[1]):
+        step = a[:, k] - b[:, k]
+        total += step * step
+    return np.sqrt(total)
+
+
 def block_nearest(q_ids, queries, c_ids, candidates, k: int):
     """The k nearest candidates of each query: one heap per query takes the exact distances of the pairs
     that the bounds do not rule out, tile by tile."""
@@ -71,7 +80,7 @@ def block_nearest(q_ids, queries, c_ids, candidates, k: int):
         i, j = np.nonzero((lower <= limit[:, None]) & ~own)
         for begin in range(0, len(i), 1 << 16):
             a, b = i[begin : begin + (1 << 16)], j[begin : begin + (1 << 16)]
-            distance = np.sqrt(((queries[a] - rows[b]) ** 2).sum(axis=1))
+            distance = distances(queries[a], rows[b])
             for row, d, name in zip(a.tolist(), distance.tolist(), ids[b].tolist(), strict=True):
                 heap = heaps[row]
                 if len(heap) < k:

@@ -12,6 +12,7 @@ from snapcredit.llm.bpe import encode_decode
 from snapcredit.llm.html_text import extract_main_text
 from snapcredit.llm.licences import scan_licences
 from snapcredit.llm.neighbours import nearest
+from snapcredit.llm.oracles import ORACLES  # noqa: F401
 from snapcredit.llm.packing import pack
 from snapcredit.llm.quality import quality_rules
 from snapcredit.llm.simhash import near_duplicates
@@ -21,7 +22,6 @@ from snapcredit.llm.token_counts import section_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:

@@ -118,11 +118,11 @@ def repeated_segments(
     return map_arrow(texts, look_up, schema)
 
 
-def with_copies(found: DataFrame) -> DataFrame:
+def with_copies(found: DataFrame, wanted: str) -> DataFrame:
     """Each segment with `copies`, the segments equal to it, itself included, whether it is the `first` of
     them, the one with the smallest (doc_id, start), null first, and `rivals`, the different segments of
-    its anchor. Segments alone in their anchor are left out. Kept as a table: all that follows reads it
-    instead of the texts."""
+    its anchor. Segments alone in their anchor are left out. Kept as a table of the `wanted` rows: all
+    that follows reads it instead of the texts. `anchor` stays where single windows are compared."""
     contents = found.groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "start")).alias("place")
     )
@@ -130,7 +130,9 @@ def with_copies(found: DataFrame) -> DataFrame:
     contents = contents.join(rivals, "anchor").where("copies > 1 or rivals > 1")
     first = F.col("doc_id").eqNullSafe(F.col("place.doc_id")) & (F.col("start") == F.col("place.start"))
     joined = found.join(contents, ["anchor", "content"]).withColumn("first", first)
-    return stored(joined.drop("place", "content"), "segments")
+    compared = F.col("first") & (F.col("rivals") > 1)
+    rows = joined.where(wanted).withColumn("anchor", F.when(compared, F.col("anchor")))
+    return stored(rows.drop("place", "content"), "segments")
 
 
 def by_document(rows: DataFrame, *columns: str) -> DataFrame:

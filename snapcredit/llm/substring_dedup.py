@@ -53,13 +53,13 @@ def listed_windows(texts: DataFrame, lists: DataFrame, window: int) -> DataFrame
                     chunk[0].column("text_hash").take(row),
                     pa.array(place.astype(np.int32)),
                     pa.array(low.view(np.int64)),
-                    pa.array(high.view(np.int64)),
+                    pa.array((high >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                 ],
                 ["doc_id", "text_hash", "start", "low", "high"],
             )
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, text_hash int, start int, low long, high long"
+    schema = f"doc_id {id_type}, text_hash int, start int, low long, high int"
     return map_arrow(with_rows(texts, lists, "inner"), expand, schema)
 
 
@@ -112,14 +112,16 @@ def drop_repeated_windows(
     Every window is counted under its anchor in one merged count-min sketch, which overestimates; of the
     segments it leaves, equal ones are grouped whole, so a hot passage is aggregated before any of its
     windows is shuffled. The windows of segments that only share their anchor are grouped exactly, by
-    128-bit hashes of their words.
+    96-bit hashes of their words.
 
     Returns doc_id, n_words, n_removed and kept_text (words joined by one space) for each row; null
     and empty texts have no words. Other columns are not carried.
     """
     texts = keyed_texts(docs, doc_id, text)
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    found = with_copies(repeated_segments(texts, "words", window, anchor, sketch_bits))
+    found = with_copies(
+        repeated_segments(texts, "words", window, anchor, sketch_bits), "not first or rivals > 1"
+    )
     small = packed(texts)
 
     # Copies of a segment after the first one repeat all its windows.

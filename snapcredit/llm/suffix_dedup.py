@@ -254,7 +254,9 @@ def drop_repeated_strings(
     """
     texts = keyed_texts(docs, doc_id, text)
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    found = with_copies(repeated_segments(texts, "bytes", length, anchor, sketch_bits))
+    found = with_copies(
+        repeated_segments(texts, "bytes", length, anchor, sketch_bits), "copies > 1 or rivals > 1"
+    )
     small = packed(docs.select(*keep, *keyed_columns(doc_id, text)))
     whole = found.where("copies > 1")
 
