@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from snapcredit.models.training import SearchResult, top_features
 from snapcredit.operators.aggregates import arg_max
 
 METADATA_SCHEMA = (
-    "model_type string, model_name string, path string, params map<string,string>, "
+    "saved_at timestamp, model_type string, model_name string, path string, params map<string,string>, "
     "metrics map<string,double>, top_features array<struct<feature:string,score:double>>"
 )
 
@@ -18,12 +20,16 @@ METADATA_SCHEMA = (
 def save_model(
     spark: SparkSession, result: SearchResult, root: str, model_type: str, model_name: str
 ) -> str:
-    """Store the pipeline, then append its metadata row; returns the model path."""
+    """Store the pipeline, then append its metadata row; returns the model path.
+
+    A path that is used again has two rows, of which the registry reads the newer one.
+    """
     root = root.rstrip("/")
     path = f"{root}/{model_type}/{model_name}"
     result.model.write().overwrite().save(path)
     best = top_features(result.model, spark.range(0)).collect()
     row = (
+        dt.datetime.now(dt.timezone.utc),
         model_type,
         model_name,
         path,
@@ -36,7 +42,10 @@ def save_model(
 
 
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(METADATA_SCHEMA).json(f"{root.rstrip('/')}/metadata")
+    """One row per model path: that of its last training."""
+    rows = spark.read.schema(METADATA_SCHEMA).json(f"{root.rstrip('/')}/metadata")
+    newest = F.max_by(F.struct(*rows.columns), "saved_at").alias("row")
+    return rows.groupBy(F.col("path").alias("_path")).agg(newest).select("row.*")
 
 
 def champion(registry: DataFrame, criterion: str = "val_auc") -> DataFrame:

@@ -27,13 +27,18 @@ def _both(
 ) -> DataFrame:
     """Both populations with 0/1 side weights and the features as doubles.
 
+    NaN and infinite values are left out like nulls, from ranges, shares, ranks and moments alike.
     ``extra`` columns are taken from the current population only.
     """
 
+    def finite(feature: str) -> Column:
+        value = F.col(feature).cast("double")
+        return F.when(F.abs(value) < float("inf"), value).alias(feature)
+
     def side(df: DataFrame, is_ref: int) -> DataFrame:
         more = [F.lit(None).alias(n) if is_ref else c.alias(n) for n, c in extra.items()]
         return df.select(
-            *[F.col(f).cast("double").alias(f) for f in features],
+            *[finite(f) for f in features],
             F.lit(is_ref).alias("n_ref"),
             F.lit(1 - is_ref).alias("n_cur"),
             *more,
@@ -66,7 +71,7 @@ def _moment_aggregates(features: Sequence[str]) -> list[Column]:
 
 def _total_aggregates(features: Sequence[str]) -> list[Column]:
     return [F.count(F.lit(1)).alias("_rows")] + [
-        F.count(F.nanvl(_of(s, c), F.lit(None))).alias(f"{c}__{s}_n") for c in features for s in SIDES
+        F.count(_of(s, c)).alias(f"{c}__{s}_n") for c in features for s in SIDES
     ]
 
 
@@ -102,10 +107,10 @@ def _check_bins(bins: str) -> None:
 
 
 def _psi_of(cells: DataFrame) -> DataFrame:
-    """PSI per feature from counts per ``(feature, bucket)``."""
+    """PSI per feature from counts per ``(feature, bucket)``; null if a side has no values."""
     counts = cells.groupBy("feature", "bucket").agg(*[F.sum(c).alias(c) for c in COUNTS])
     whole = Window.partitionBy("feature")
-    shares = counts.select("feature", *[(F.col(c) / F.sum(c).over(whole)).alias(c) for c in COUNTS])
+    shares = counts.select("feature", *[F.try_divide(F.col(c), F.sum(c).over(whole)).alias(c) for c in COUNTS])
     p, q = (F.col(c) for c in COUNTS)
     term = (p - q) * F.log((p + EPSILON) / (q + EPSILON))
     return shares.groupBy("feature").agg(F.sum(term).alias("psi"))
@@ -118,7 +123,9 @@ def psi(
     buckets: int = 10,
     bins: str = "reference",
 ) -> DataFrame:
-    """Population stability index per feature, nulls left out.
+    """Population stability index per feature, nulls, NaN and infinities left out.
+
+    A feature without values on a side has a null index, one without values on both sides no row.
 
     ``bins="reference"`` cuts both populations by the range of the reference; ``bins="own"`` cuts each
     by its own range, in which a pure shift is invisible. Two scans: one for the ranges, of which one

@@ -4,33 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snapcredit.functions.text import column_suffix
+from snapcredit.session import scratch_path
 
 
-def category_index(df: DataFrame, column: str, max_small: int = 10_000) -> DataFrame:
+def category_index(df: DataFrame, column: str) -> DataFrame:
     """``(category, frequency, index)`` by falling frequency, equal frequencies alphabetically.
 
-    Only distinct categories are ranked. Up to ``max_small`` of them the ranking is broadcastable; a
-    larger vocabulary is sorted and numbered in parallel.
+    Only distinct categories are sorted, in parallel. They are numbered inside the sorted partitions,
+    kept as a table so that the numbers stand, and moved up by the totals of the earlier partitions.
     """
-    spark = df.sparkSession
     counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("category"))
         .agg(F.count(F.lit(1)).alias("frequency"))
     )
+    path = scratch_path(df.sparkSession, "categories")
     ranked = counts.orderBy(F.col("frequency").desc(), F.col("category"))
-    schema = counts.schema.add("index", T.DoubleType())
-    head = ranked.limit(max_small + 1).collect()
-    if len(head) <= max_small:
-        rows = [(r.category, r.frequency, float(i)) for i, r in enumerate(head)]
-        return F.broadcast(spark.createDataFrame(rows, schema))
-    numbered = ranked.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], float(r[1])))
-    return spark.createDataFrame(numbered, schema)
+    # the id has the number of the partition in its upper bits and that of the row in the lower 33
+    ranked.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = df.sparkSession.read.parquet(path).select(
+        "category",
+        "frequency",
+        F.shiftright("_id", 33).alias("_part"),
+        F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"),
+    )
+    # one row per partition: its order is the only thing sorted in one place
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return numbered.join(offsets, "_part").select(
+        "category", "frequency", (F.col("_row") + F.col("_before")).cast("double").alias("index")
+    )
 
 
 def string_index(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
@@ -42,14 +50,9 @@ def string_index(df: DataFrame, column: str, output: str | None = None) -> DataF
     return df.join(index, column, "inner").select(*df.columns, output)
 
 
-def categories_of(df: DataFrame, column: str, max_categories: int = 1_000) -> list[str]:
-    """The categories present, sorted. One column each is made of them, so there must be few."""
-    rows = (
-        df.where(F.col(column).isNotNull()).select(column).distinct().limit(max_categories + 1).collect()
-    )
-    if len(rows) > max_categories:
-        raise ValueError(f"{column} has over {max_categories} categories; one column each is too many")
-    return sorted(r[0] for r in rows)
+def categories_of(df: DataFrame, column: str) -> list[str]:
+    """The categories present, sorted: as many as the columns that are made of them."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def one_hot(
@@ -58,18 +61,20 @@ def one_hot(
     categories: Sequence[str] | None = None,
     drop_label: str | None = None,
     keep_source: bool = False,
+    fallback: str = "category",
 ) -> DataFrame:
     """A 0/1 column ``<column>_<category>`` for each category but ``drop_label``; null is all 0.
 
-    Declared categories give every snapshot the same schema and need no pass over the data.
+    Declared categories give every snapshot the same schema and need no pass over the data. A category
+    whose name leaves nothing of a column name is called ``<fallback>_<place>`` among those flagged.
     """
     found = categories if categories is not None else categories_of(df, column)
+    found = [label for label in found if label != drop_label]
     flags = [
         F.coalesce((F.col(column) == label).cast("int"), F.lit(0)).alias(
-            f"{column}_{column_suffix(label, f'category_{i}')}"
+            f"{column}_{column_suffix(label, f'{fallback}_{i}')}"
         )
         for i, label in enumerate(found)
-        if label != drop_label
     ]
     kept = [F.col(c) for c in df.columns if keep_source or c != column]
     return df.select(*kept, *flags)

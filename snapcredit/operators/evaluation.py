@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snapcredit.operators.joins import delayed_label_join
 from snapcredit.operators.ranks import before_slice, slice_cuts, value_counts, within_slice
+from snapcredit.session import scratch_path
 
 
 def auc_exact(
@@ -17,7 +18,6 @@ def auc_exact(
     label: str = "label",
     by: Sequence[str] = (),
     slices: int | None = None,
-    cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Area under the ROC curve with ties counted half, per group; null if a class is absent.
 
@@ -25,8 +25,8 @@ def auc_exact(
     scores are equal. The pairs are never made: per distinct score the negatives below it are known
     from running counts, and the pairs with earlier slices from the totals of those.
 
-    The cuts between slices are taken from ``df``, or from a cheaper frame with the same kind of scores
-    if ``df`` is the result of a join. They only balance the work; any cuts give the same AUC.
+    ``df`` is read once: its counts per distinct score are kept as a table, from which the cuts between
+    slices and the result follow.
     """
     positive = F.col(label) == 1
     known = df.where(F.col(label).isNotNull()).select(
@@ -36,9 +36,11 @@ def auc_exact(
         F.when(positive, 0).otherwise(1).alias("n_neg"),
     )
     counts = ("n_pos", "n_neg")
-    sample = known if cuts_from is None else cuts_from.select(F.col(score).cast("double").alias("_score"))
-    cuts = slice_cuts(sample, ["_score"], sample.count(), slices)
-    counted = value_counts(known, cuts, counts, by)
+    path = scratch_path(df.sparkSession, "scores")
+    known.groupBy(*by, "_score").agg(*[F.sum(c).alias(c) for c in counts]).write.parquet(path)
+    distinct = df.sparkSession.read.parquet(path)
+    cuts = slice_cuts(distinct, ["_score"], distinct.count(), slices)
+    counted = value_counts(distinct, cuts, counts, by)
     below = F.col("n_neg_upto") - F.col("n_neg") + F.col("n_neg") / 2
     sliced = (
         within_slice(counted, counts, by)
@@ -81,4 +83,4 @@ def delayed_auc(
     keys = [key] if isinstance(key, str) else list(key)
     scored = predictions.select(*keys, snapshot, score)
     joined = delayed_label_join(scored, labels, keys, months, label, snapshot)
-    return auc_exact(joined, score, label, by=[snapshot], cuts_from=scored)
+    return auc_exact(joined, score, label, by=[snapshot])

@@ -28,13 +28,11 @@ def range_join_avg(
     measures: Sequence[str],
     group_by: Sequence[str] | None = None,
     suffix: str = "_avg",
-    max_broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Average facts dated at or before a start of the same key, over all (fact, start) pairs.
 
-    The pairs are never made. ``group_by`` is ``[key, fact_date]`` (the default) or ``[key]``. Keys with
-    a start are counted; up to ``max_broadcast_rows`` of them filter the facts by broadcast, more are
-    joined to the averages.
+    The pairs are never made. ``group_by`` is ``[key, fact_date]`` (the default) or ``[key]``. Facts meet
+    one row per key with a start; adaptive execution broadcasts those rows if they turn out to be few.
     """
     group_by = list(group_by or [key, fact_date])
     facts = facts.where(F.col(key).isNotNull() & F.col(fact_date).isNotNull())
@@ -42,12 +40,8 @@ def range_join_avg(
     if set(group_by) == {key, fact_date}:
         # all facts of a group pair with the same starts, so it only matters that there is one
         newest = starts.groupBy(key).agg(F.max(start_date).alias("_newest"))
-        if newest.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-            paired = facts.join(F.broadcast(newest), key).where(F.col(fact_date) <= F.col("_newest"))
-            return multi_avg(paired, group_by, measures, suffix)
-        # averaging first leaves the shuffled join one row per date of a key
-        averaged = multi_avg(facts, group_by, measures, suffix)
-        return averaged.join(newest, key).where(F.col(fact_date) <= F.col("_newest")).drop("_newest")
+        paired = facts.join(newest, key).where(F.col(fact_date) <= F.col("_newest"))
+        return multi_avg(paired, group_by, measures, suffix)
     if group_by != [key]:
         raise ValueError("group_by must be the key, with or without the fact date")
     return _weighted_avg(facts, starts, key, fact_date, start_date, measures, suffix)
@@ -64,8 +58,8 @@ def _weighted_avg(
 ) -> DataFrame:
     """Averages per key in which a fact weighs as much as there are starts on or after its date.
 
-    Facts are summed and starts counted per (key, date) before anything is sorted; the running count
-    then sees one row per date of a key.
+    Facts are summed and starts counted per (key, date) before anything is sorted; a running count sees
+    one row per date of a key and month, so no key is ever one task's work.
     """
     sums = facts.groupBy(key, F.col(fact_date).alias("_date")).agg(
         *[F.sum(m).cast("double").alias(f"_sum_{m}") for m in measures],
@@ -74,13 +68,25 @@ def _weighted_avg(
     counts = starts.groupBy(key, F.col(start_date).alias("_date")).agg(
         F.count(F.lit(1)).alias("_starts")
     )
+    # starts are counted backwards inside a month of the key; those of later months are carried in
+    rows = sums.unionByName(counts, allowMissingColumns=True).withColumn("_month", F.trunc("_date", "month"))
+    months = rows.groupBy(key, "_month").agg(F.sum("_starts").alias("_in_month"))
+    after = Window.partitionBy(key).orderBy(F.col("_month").desc()).rowsBetween(*BEFORE)
+    months = months.select(
+        F.col(key).alias("_key"),
+        F.col("_month").alias("_of"),
+        F.coalesce(F.sum("_in_month").over(after), F.lit(0)).alias("_carried"),
+    )
     later = (
-        Window.partitionBy(key)
+        Window.partitionBy(key, "_month")
         .orderBy(F.col("_date").desc())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    weighted = sums.unionByName(counts, allowMissingColumns=True).withColumn(
-        "_weight", F.sum("_starts").over(later)
+    weighted = (
+        rows.withColumn("_inside", F.coalesce(F.sum("_starts").over(later), F.lit(0)))
+        .join(months, (F.col(key) == F.col("_key")) & (F.col("_month") == F.col("_of")))
+        .withColumn("_weight", F.col("_inside") + F.col("_carried"))
+        .drop("_key", "_of")
     )
 
     def total(column: str) -> Column:
@@ -92,86 +98,47 @@ def _weighted_avg(
     )
 
 
-def _has_large_key(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int
-) -> bool:
-    """Does a key have more than ``max_rows`` rows on both sides together? Reads the keys only."""
-    both = left.select(*keys).unionAll(right.select(*keys))
-    sizes = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return (sizes.agg(F.max("n")).first()[0] or 0) > max_rows
-
-
-def _merge_sorted(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_time: str,
-    right_time: str,
-    outputs: Mapping[str, str],
-    tie_break: Sequence[str],
-) -> DataFrame:
-    """Both sides of a key in time order, each left row taking the last right row before it."""
-    ties = [c for c in dict.fromkeys([*tie_break, *outputs]) if c in right.columns]
-    hits = right.select(
-        *keys,
-        F.col(right_time).alias("_time"),
-        F.lit(0).alias("_side"),
-        *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(ties)],
-        F.struct(*[F.col(c).alias(o) for c, o in outputs.items()]).alias("_hit"),
-    )
-    probes = left.select(
-        *keys, F.col(left_time).alias("_time"), F.lit(1).alias("_side"), F.struct("*").alias("_left")
-    )
-    so_far = (
-        Window.partitionBy(*keys)
-        .orderBy("_time", "_side", *[f"_tie{i}" for i in range(len(ties))])
-        .rowsBetween(*UP_TO_HERE)
-    )
-    return (
-        probes.unionByName(hits, allowMissingColumns=True)
-        .withColumn("_hit", F.last("_hit", ignorenulls=True).over(so_far))
-        .where(F.col("_side") == 1)
-        .select("_left.*", "_hit.*")
-    )
-
-
-def _timeline(
-    probes: DataFrame, hits: DataFrame, keys: Sequence[str], time_slice: str | None
-) -> DataFrame:
+def _timeline(probes: DataFrame, hits: DataFrame, keys: Sequence[str], time_slice: str) -> DataFrame:
     """The latest hit at or before each probe time; ``(keys, _time, _hit)``.
 
+    A window holds one ``time_slice`` of a key; the last match of the earlier slices is carried in.
     ``_side`` orders a carried hit before the hits, and the hits before the probes, of the same time.
     """
     no_hit = F.lit(None).cast(hits.schema["_hit"].dataType)
-    rows = hits.select(*keys, "_time", F.lit(1).alias("_side"), "_hit").unionByName(
-        probes.select(*keys, "_time", F.lit(2).alias("_side"), no_hit.alias("_hit"))
+    start = F.date_trunc(time_slice, "_time").cast(hits.schema["_time"].dataType)
+    rows = (
+        hits.select(*keys, "_time", F.lit(1).alias("_side"), "_hit")
+        .unionByName(probes.select(*keys, "_time", F.lit(2).alias("_side"), no_hit.alias("_hit")))
+        .withColumn("_slice", start)
+    )
+    # latest hit of each (key, slice), carried into the later slices of the key
+    slices = rows.groupBy(*keys, "_slice").agg(
+        F.max_by("_hit", F.when(F.col("_side") == 1, F.col("_time"))).alias("_last")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*BEFORE)
+    carried = slices.select(
+        *keys,
+        F.col("_slice").alias("_time"),
+        F.lit(0).alias("_side"),
+        F.last("_last", ignorenulls=True).over(earlier).alias("_hit"),
+        "_slice",
     )
-    partition = list(keys)
-    if time_slice:
-        start = F.date_trunc(time_slice, "_time").cast(hits.schema["_time"].dataType)
-        rows = rows.withColumn("_slice", start)
-        partition.append("_slice")
-        # latest hit of each (key, slice), carried into the later slices of the key
-        slices = rows.groupBy(*partition).agg(
-            F.max_by("_hit", F.when(F.col("_side") == 1, F.col("_time"))).alias("_last")
-        )
-        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*BEFORE)
-        carried = slices.select(
-            *keys,
-            F.col("_slice").alias("_time"),
-            F.lit(0).alias("_side"),
-            F.last("_last", ignorenulls=True).over(earlier).alias("_hit"),
-            "_slice",
-        )
-        rows = rows.unionByName(carried)
-    so_far = Window.partitionBy(*partition).orderBy("_time", "_side").rowsBetween(*UP_TO_HERE)
+    so_far = Window.partitionBy(*keys, "_slice").orderBy("_time", "_side").rowsBetween(*UP_TO_HERE)
     return (
-        rows.withColumn("_hit", F.last("_hit", ignorenulls=True).over(so_far))
+        rows.unionByName(carried)
+        .withColumn("_hit", F.last("_hit", ignorenulls=True).over(so_far))
         .where(F.col("_side") == 2)
         .select(*keys, "_time", "_hit")
     )
 
 
+def _common_type(left: T.DataType, right: T.DataType) -> T.DataType:
+    """The wider of two date or time types; a date is the midnight it begins with."""
+    if left == right or isinstance(right, T.DateType):
+        return left
+    return right if isinstance(left, T.DateType) else T.TimestampType()
+
+
 def asof_latest(
     left: DataFrame,
     right: DataFrame,
@@ -182,7 +149,6 @@ def asof_latest(
     tie_break: Sequence[str] = (),
     time_slice: str | None = None,
     matched_time: str | None = None,
-    max_key_rows: int = 1_000_000,
 ) -> DataFrame:
     """Left join with the latest right row of the same key at or before the left time.
 
@@ -191,13 +157,11 @@ def asof_latest(
     (``{right: output}`` renames them), by default all but the keys and the time; ``matched_time`` adds
     the time of the matched row.
 
-    If no key has more than ``max_key_rows`` rows, both sides are sorted together by key and time: one
-    shuffle, and memory for one key at a time. Otherwise the match, which depends only on (key, time),
-    is computed for the distinct times of the left side and joined back, so that whatever repeats
-    collapses before the shuffle, and the join back is an equi-join that adaptive execution can split.
-    A key then has at most one row per side and time in the window; for timestamps the window is also
-    cut into ``time_slice`` units (``day`` unless given) with the last match of the earlier slices
-    carried in. Giving ``time_slice`` asks for this way without counting.
+    Times of different types are compared in the wider one, so no time of day is lost. The match depends
+    only on (key, time): it is computed for the distinct times of the left side and joined back, so
+    whatever repeats collapses before the shuffle, and the join back is an equi-join that adaptive
+    execution can split. A key has at most one row per side and time, and a window holds one
+    ``time_slice`` of it, by default a day, or a year if both times are dates.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if payload is None:
@@ -212,26 +176,21 @@ def asof_latest(
     known_keys = F.lit(True)
     for k in keys:
         known_keys = known_keys & F.col(k).isNotNull()
+    time_type = _common_type(left.schema[left_time].dataType, right.schema[right_time].dataType)
+    time_slice = time_slice or ("year" if isinstance(time_type, T.DateType) else "day")
     needed = dict.fromkeys([*keys, right_time, *outputs, *tie_break])
-    candidates = right.where(known_keys & F.col(right_time).isNotNull()).select(*needed)
-    if time_slice is None and not _has_large_key(left, candidates, keys, max_key_rows):
-        return _merge_sorted(left, candidates, keys, left_time, right_time, outputs, tie_break)
-
-    time_type = left.schema[left_time].dataType
-    if time_slice is None and not isinstance(time_type, T.DateType):
-        time_slice = "day"
-    hits = dedup_latest(candidates, [*keys, right_time], tie_break).select(
-        *keys,
-        F.col(right_time).cast(time_type).alias("_time"),
-        F.struct(*[F.col(c).alias(o) for c, o in outputs.items()]).alias("_hit"),
+    candidates = (
+        right.where(known_keys & F.col(right_time).isNotNull())
+        .select(*needed)
+        .withColumn("_time", F.col(right_time).cast(time_type))
     )
-    probes = (
-        left.where(known_keys & F.col(left_time).isNotNull())
-        .select(*keys, F.col(left_time).alias("_time"))
-        .distinct()
+    hits = dedup_latest(candidates, [*keys, "_time"], tie_break).select(
+        *keys, "_time", F.struct(*[F.col(c).alias(o) for c, o in outputs.items()]).alias("_hit")
     )
-    matched = _timeline(probes, hits, keys, time_slice).withColumnRenamed("_time", left_time)
-    return left.join(matched, [*keys, left_time], "left").select(
+    timed = left.withColumn("_time", F.col(left_time).cast(time_type))
+    probes = timed.where(known_keys & F.col("_time").isNotNull()).select(*keys, "_time").distinct()
+    matched = _timeline(probes, hits, keys, time_slice)
+    return timed.join(matched, [*keys, "_time"], "left").select(
         *[F.col(c) for c in left.columns], *[F.col("_hit")[o].alias(o) for o in outputs.values()]
     )
 

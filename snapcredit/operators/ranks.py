@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 250_000
-MAX_SLICES = 4_096
+#: Slices grow with the rows between these; beyond, slices grow, and the sort of one spills to disk.
+MIN_SLICES, MAX_SLICES = 8, 4_096
 SAMPLED_PER_SLICE = 500
 
 
@@ -23,20 +24,17 @@ def slice_cuts(
 ) -> dict[str, list[float]]:
     """Cut points per double column that divide ``n_rows`` rows into about equal slices.
 
-    Unless given, the number of slices grows with the rows; up to ``ROWS_PER_SLICE`` rows need no cut
-    and no job. The cuts come from a sample whose size depends on the number of slices only. They
+    Unless given, the number of slices grows with the rows. The cuts come from a sample whose size depends on the number of slices only. They
     balance the work and nothing else, so a sample does not make the results approximate. They are
     collected and become constants of the plan: every task, and every repeated task, sees the same.
     """
-    slices = slices or min(-(-n_rows // ROWS_PER_SLICE), MAX_SLICES)
-    if slices < 2:
-        return {c: [0.0] for c in columns}
+    slices = slices or min(max(-(-n_rows // ROWS_PER_SLICE), MIN_SLICES), MAX_SLICES)
     share = min(1.0, slices * SAMPLED_PER_SLICE / max(n_rows, 1))
     sample = df.select(*columns) if share == 1.0 else df.select(*columns).sample(share, seed=17)
     shares = f"array({', '.join(f'{i / slices}D' for i in range(1, slices))})"
     row = sample.agg(
         *[
-            F.expr(f"percentile_approx(nanvl(`{c}`, null), {shares}, {20 * slices})").alias(c)
+            F.expr(f"percentile_approx(if(abs(`{c}`) < double('inf'), `{c}`, null), {shares}, {20 * slices})").alias(c)
             for c in columns
         ]
     ).first()

@@ -121,13 +121,13 @@ def stratified_split(
     test_share: float = 0.2,
     seed: str = "",
     output: str = "split",
-    max_classes: int = 1_000,
 ) -> DataFrame:
     """Add ``train`` / ``test`` so that each class has exactly ``ceil(test_share * n)`` test keys.
 
     Keys, which identify a row, are ordered by their md5. No class is ever sorted as a whole: a
     histogram over 65,536 hash cells finds the cell in which the quota of a class is reached, the rows of
-    that one cell give the last test key, and every row is then decided by comparing with it.
+    that one cell give the last test key, and every row is then decided by comparing with the one of its
+    class, in a join. Rows without a label belong to no class and get null.
     """
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(seed)))
     hashed = df.select(F.col(label).alias("_class"), digest.alias("_digest")).where(
@@ -147,26 +147,15 @@ def stratified_split(
             F.ceil(F.round(F.sum("_n").over(by_class) * F.lit(test_share), 6)).alias("_quota"),
         )
     )
-    reached = (
-        cells.where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select("_class", "_cell", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take"))
-        .limit(max_classes + 1)
-        .collect()
-    )
-    if len(reached) > max_classes:
-        raise ValueError(f"{label} has over {max_classes} classes")
-    if not reached:
-        return df.withColumn(output, F.lit("train"))
-    wanted = [F.struct(F.lit(r["_class"]), F.lit(r["_cell"])) for r in reached]
-    in_cell = hashed.withColumn("_cell", cell).where(F.struct("_class", "_cell").isin(wanted))
-    ranked = in_cell.withColumn(
+    reached = cells.where(
+        (F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota"))
+    ).select("_class", "_cell", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take"))
+    ranked = hashed.withColumn("_cell", cell).join(reached, ["_class", "_cell"]).withColumn(
         "_rank", F.row_number().over(Window.partitionBy("_class", "_cell").orderBy("_digest"))
     )
-    take = F
-    for r in reached:
-        take = take.when(F.col("_class") == F.lit(r["_class"]), r["_take"])
-    last = ranked.where(F.col("_rank") == take).select("_class", "_digest").collect()
-    is_test = F.lit(False)
-    for r in last:
-        is_test = is_test | ((F.col(label) == F.lit(r["_class"])) & (digest <= F.lit(r["_digest"])))
-    return df.withColumn(output, F.when(is_test, "test").otherwise("train"))
+    last = ranked.where(F.col("_rank") == F.col("_take")).select("_class", F.col("_digest").alias("_last"))
+    is_test = F.coalesce(digest <= F.col("_last"), F.lit(False))
+    decided = F.when(F.col(label).isNotNull(), F.when(is_test, "test").otherwise("train"))
+    return df.join(last, df[label] == last["_class"], "left").select(
+        *[df[c] for c in df.columns if c != output], decided.alias(output)
+    )

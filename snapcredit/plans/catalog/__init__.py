@@ -8,6 +8,7 @@ from snapcredit.plans.catalog import (  # noqa: F401
     modelling,
     monitoring,
     silver_tables,
+    store,
 )
 from snapcredit.plans.catalog.base import ORACLES, QUERIES
 

@@ -51,6 +51,12 @@ def string_index_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_index(customers, "c_mktsegment")
 
 
+@query("string_index_large", _index_sql("part", "p_name", "p_partkey"))
+def string_index_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearly as many categories as rows."""
+    return string_index(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name")
+
+
 @query(
     "one_hot",
     "SELECT event_id, "

@@ -232,10 +232,32 @@ def asof_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("asof_latest_sliced", ASOF_EVENTS)
 def asof_latest_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way taken when a key is too large for one task."""
+    """In slices of a month instead of a day."""
     return _asof_events(spark, sf_dir, "month")
 
 
+@query(
+    "asof_date_vs_timestamp",
+    """WITH past AS (
+      SELECT event_id, user_id AS o_custkey, (ts - INTERVAL 28 YEAR)::DATE AS day FROM events),
+    timed AS (SELECT o_custkey, o_orderdate::TIMESTAMP + INTERVAL 5 HOUR AS placed, o_orderkey FROM orders),
+    latest AS (
+      SELECT event_id, day, o_orderkey, placed::DATE AS placed_day,
+             row_number() OVER (PARTITION BY event_id ORDER BY placed DESC, o_orderkey DESC) AS rn
+      FROM past LEFT JOIN timed ON past.o_custkey = timed.o_custkey AND placed <= day)
+    SELECT event_id, day, o_orderkey, placed_day FROM latest WHERE rn = 1""",
+)
+def asof_date_vs_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates on the left, times of day on the right: an order of the same day is not known yet."""
+    events = past_events(spark, sf_dir).select("event_id", "o_custkey", F.to_date("ts").alias("day"))
+    placed = F.col("o_orderdate").cast("timestamp") + F.expr("interval 5 hours")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", placed.alias("placed"), "o_orderkey")
+    matched = asof_latest(
+        events, orders, "o_custkey", "day", "placed", tie_break=["o_orderkey"], matched_time="at"
+    )
+    return matched.select("event_id", "day", "o_orderkey", F.to_date("at").alias("placed_day"))
+
+
 @query(
     "asof_chain",
     f"""WITH {MONTHLY},

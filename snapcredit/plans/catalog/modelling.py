@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +44,19 @@ def labelled_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_sets(joined, ["loan_id"])
 
 
+#: What is stored once per session and folder: the splits, and the models fitted on them.
+_stored: dict[tuple[str, ...], object] = {}
+
+
 def sets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The splits, stored once as a partitioned table as training does, so that fits only scan them."""
-    path = scratch_path(spark, "training_sets")
-    loans = labelled_loans(spark, sf_dir)
-    loans.hint("rebalance", "split").write.partitionBy("split").parquet(path)
-    stored = spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, sf_dir, "sets")
+    if key not in _stored:
+        path = scratch_path(spark, "training_sets")
+        loans = labelled_loans(spark, sf_dir)
+        loans.hint("rebalance", "split").write.partitionBy("split").parquet(path)
+        _stored[key] = path
+    stored = spark.read.parquet(_stored[key])
     return {
         name: stored.where(F.col("split") == name)
         for name in ("training", "validation", "test", "oot_1", "oot_2", "oot_3")
@@ -59,10 +68,12 @@ def _features(df: DataFrame) -> list[str]:
 
 
 def _fit(spark: SparkSession, sf_dir: str, kind: str) -> tuple[SearchResult, dict[str, DataFrame]]:
-    data = sets(spark, sf_dir)
-    train, validation = data["training"], data["validation"]
-    estimator, params = (gbt(), {"maxIter": 5, "maxDepth": 3}) if kind == "gbt" else (logreg(), {})
-    return random_search(estimator, [params], train, validation, _features(train)), data
+    data, key = sets(spark, sf_dir), (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _stored:
+        train, validation = data["training"], data["validation"]
+        estimator = gbt() if kind == "gbt" else logreg()
+        _stored[key] = random_search(estimator, [{}], train, validation, _features(train))
+    return _stored[key], data
 
 
 @query("train_gbt")
@@ -78,22 +89,19 @@ def train_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("random_search")
-def random_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A short search; metrics of the winner on all sets."""
+def random_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 3) -> DataFrame:
+    """Trials from the declared space; metrics of the winner on all sets."""
     data = sets(spark, sf_dir)
     train, validation = data.pop("training"), data.pop("validation")
-    space = GBT_SPACE | {"maxIter": [5], "maxDepth": [3, 4]}
-    found = random_search(
-        gbt(), sample_space(space, 3), train, validation, _features(train), further=data
-    )
+    grid = sample_space(GBT_SPACE, n_trials)
+    found = random_search(gbt(), grid, train, validation, _features(train), further=data)
     return spark.createDataFrame(sorted(found.metrics.items()), "metric string, value double")
 
 
 @query("cv_search")
-def cv_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cv_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 2) -> DataFrame:
     train = sets(spark, sf_dir)["training"]
-    space = CV_GBT_SPACE | {"maxIter": [3, 5]}
-    found = cv_search(gbt(), sample_space(space, 2), train, _features(train))
+    found = cv_search(gbt(), sample_space(CV_GBT_SPACE, n_trials), train, _features(train))
     rows = [(i, t["cv_auc"]) for i, t in enumerate(found.trials)]
     return spark.createDataFrame(rows, "trial int, cv_auc double")
 
@@ -122,18 +130,77 @@ def batch_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("scorecard")
-def scorecard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Card of a short cross-validated search on the fourteen months before a date."""
+def scorecard_query(spark: SparkSession, sf_dir: str, n_trials: int = 2) -> DataFrame:
+    """Card of a cross-validated search on the fourteen months before a date."""
     labels = create_label(delinquency(ledger(spark, sf_dir)))
     features = supplier_months(spark, sf_dir)
     path = scratch_path(spark, "scorecard_sets")
     stored = scorecard.window_sets(labels, features, "2001-01-01", path, ["loan_id", "snapshot_date"])
-    space = CV_GBT_SPACE | {"maxIter": [3, 5]}
     columns = columns_like(features, suffix="_avg")
-    found = scorecard.train_scorecard(stored, columns, n_trials=2, space=space)
+    found = scorecard.train_scorecard(stored, columns, n_trials=n_trials)
     return scorecard.model_card(found.model, stored, "credit_model_2001_01_01")
 
 
+SPLITS = f"""WITH {LEDGER},
+    aged AS (SELECT *, date_diff('month', snapshot_date, max(snapshot_date) OVER ()) AS age,
+                    {BUCKET.format("loan_id::VARCHAR")} AS bucket FROM labels_gold),
+    splits AS (SELECT *, CASE WHEN age < 3 THEN 'oot_' || (3 - age) WHEN bucket < 70 THEN 'training'
+                              WHEN bucket < 85 THEN 'validation' ELSE 'test' END AS split FROM aged)"""
+
+
+@query(
+    "logreg_balance",
+    f"""{SPLITS} SELECT count(*) AS n_rows, sum(label)::BIGINT AS n_pos, true AS balanced
+    FROM splits WHERE split = 'training'""",
+)
+def logreg_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A regression without a penalty predicts as many positives as its training set has."""
+    found, data = _fit(spark, sf_dir, "logreg")
+    scored = batch_score(found.model, data["training"]).withColumn("score", positive_probability())
+    off = F.abs(F.sum("score") - F.sum("label")) / F.count(F.lit(1))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("label").alias("n_pos"), (off < 1e-3).alias("balanced")
+    )
+
+
+@query(
+    "model_roundtrip",
+    f"{SPLITS} SELECT split, count(*) AS n_rows, 0::BIGINT AS n_differ FROM splits WHERE split <> 'training' GROUP BY 1",
+)
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a model scores otherwise after a round trip through the registry."""
+    found, data = _fit(spark, sf_dir, "gbt")
+    root = scratch_path(spark, "registry")
+    save_model(spark, found, root, "gbt", "gbt_1")
+    loaded, _ = load_champion(spark, root)
+    rows = reduce(
+        DataFrame.unionByName,
+        [df.withColumn("split", F.lit(name)) for name, df in data.items() if name != "training"],
+    )
+    scored = batch_score(found.model, rows).withColumn("fitted", positive_probability())
+    scored = batch_score(loaded, scored.drop("features", "rawPrediction", "probability", "prediction"))
+    return scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("fitted") != positive_probability()).alias("n_differ")
+    )
+
+
+@query(
+    "batch_score_rows",
+    f"""{SPLITS} SELECT snapshot_date, 'gbt_1' AS model_name, count(*) AS n_rows, count(*) AS n_scored,
+      count(DISTINCT loan_id) AS n_loans FROM splits WHERE split LIKE 'oot%' GROUP BY 1""",
+)
+def batch_score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the out-of-time snapshots has one score between 0 and 1."""
+    found, data = _fit(spark, sf_dir, "gbt")
+    rows = reduce(DataFrame.unionByName, [data[f"oot_{n}"] for n in (1, 2, 3)])
+    scores = narrow_scores(batch_score(found.model, rows), "gbt_1", ["loan_id", "Customer_ID", "snapshot_date"])
+    return scores.groupBy("snapshot_date", "model_name").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("model_predictions").between(0, 1)).alias("n_scored"),
+        F.countDistinct("loan_id").alias("n_loans"),
+    )
+
+
 CANDIDATES = f"""WITH {ORDERS_BY_MONTH},
 candidates AS (
   SELECT o_orderpriority AS model_name, year(snapshot_date) AS year,

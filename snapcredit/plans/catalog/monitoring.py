@@ -39,8 +39,8 @@ def _psi_sql(own: bool) -> str:
       SELECT feature, bucket, count(*) FILTER (flag = 'A') AS a, count(*) FILTER (flag = 'R') AS r
       FROM bucketed GROUP BY 1, 2),
     shares AS (
-      SELECT feature, a / sum(a) OVER (PARTITION BY feature) AS p,
-             r / sum(r) OVER (PARTITION BY feature) AS q FROM counted),
+      SELECT feature, a / nullif(sum(a) OVER (PARTITION BY feature), 0) AS p,
+             r / nullif(sum(r) OVER (PARTITION BY feature), 0) AS q FROM counted),
     psi AS (
       SELECT feature, round(sum((p - q) * ln((p + 1e-6) / (q + 1e-6))), 8) AS psi
       FROM shares GROUP BY 1)"""
@@ -51,8 +51,8 @@ KS = """counts AS (
   FROM long GROUP BY 1, 2),
 cdf AS (
   SELECT feature,
-    sum(a) OVER (PARTITION BY feature ORDER BY v) / sum(a) OVER (PARTITION BY feature) AS fa,
-    sum(r) OVER (PARTITION BY feature ORDER BY v) / sum(r) OVER (PARTITION BY feature) AS fr
+    sum(a) OVER (PARTITION BY feature ORDER BY v) / nullif(sum(a) OVER (PARTITION BY feature), 0) AS fa,
+    sum(r) OVER (PARTITION BY feature ORDER BY v) / nullif(sum(r) OVER (PARTITION BY feature), 0) AS fr
   FROM counts),
 ks AS (SELECT feature, round(max(abs(fa - fr)), 8) AS ks FROM cdf GROUP BY 1)"""
 
@@ -84,6 +84,12 @@ def ks_two_sample_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ks_two_sample(*populations(spark, sf_dir), MEASURES), 8, "ks")
 
 
+@query("ks_two_sample_sliced", f"WITH {LONG}, {KS} SELECT * FROM ks")
+def ks_two_sample_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same statistic over many more slices than the rows ask for."""
+    return rounded(ks_two_sample(*populations(spark, sf_dir), MEASURES, slices=64), 8, "ks")
+
+
 @query("population_moments", f"WITH {LONG}, {_moments_sql(4)} SELECT * FROM moments")
 def population_moments_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     moments = population_moments(*populations(spark, sf_dir), MEASURES)
@@ -105,6 +111,38 @@ def drift_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Features with NaN and infinite values, without values on one side, and without any.
+EDGES = {
+    "with_nan": ("IF(l_orderkey % 50 = 0, CAST('NaN' AS DOUBLE), l_quantity)", "l_orderkey % 50 <> 0", "l_quantity"),
+    "with_inf": (
+        "IF(l_orderkey % 60 = 0, CAST('Infinity' AS DOUBLE), l_extendedprice)", "l_orderkey % 60 <> 0", "l_extendedprice",
+    ),
+    "one_sided": ("IF(l_returnflag = 'A', l_tax, NULL)", "l_returnflag = 'A'", "l_tax"),
+    "no_values": ("CAST(NULL AS DOUBLE)", "false", "l_tax"),
+}
+EDGES_LONG = "long AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, {value} AS v, l_returnflag AS flag FROM lineitem "
+    f"WHERE l_returnflag IN ('A', 'R') AND {known}"
+    for name, (_, known, value) in EDGES.items()
+) + ")"
+
+
+@query(
+    "drift_report_edge",
+    f"""WITH {EDGES_LONG}, {_psi_sql(own=False)}, {KS}, {_moments_sql(4)},
+    named AS (SELECT unnest([{", ".join(f"'{name}'" for name in EDGES)}]) AS feature)
+    SELECT feature, psi, ks, mean_train, mean_curr, std_train, std_curr
+    FROM named LEFT JOIN moments USING (feature) LEFT JOIN psi USING (feature) LEFT JOIN ks USING (feature)""",
+)
+def drift_report_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", *[F.expr(e).alias(name) for name, (e, _, _) in EDGES.items()]
+    )
+    sides = (items.where(F.col("l_returnflag") == flag).drop("l_returnflag") for flag in ("A", "R"))
+    report = drift_report(*sides, list(EDGES), prediction=None)
+    return rounded(rounded(report, 8, "psi", "ks"), 4, *MOMENT_COLUMNS)
+
+
 def _auc_sql(source: str, score: str, label: str, by: str = "") -> str:
     """Mann-Whitney form: sum of average ranks of the positives."""
     part = f"PARTITION BY {by}" if by else ""
@@ -142,6 +180,19 @@ def auc_exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(auc_exact(scored_documents(spark, sf_dir), "n_chars", "quality"), 8, "auc")
 
 
+@query(
+    "auc_sliced",
+    f"""WITH items AS (SELECT l_extendedprice, (l_returnflag = 'A')::INT AS label FROM lineitem),
+    {_auc_sql("items", "l_extendedprice", "label")}
+    SELECT round(auc, 8) AS auc, n_pos, n_neg FROM auc""",
+)
+def auc_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_extendedprice", (F.col("l_returnflag") == "A").cast("int").alias("label")
+    )
+    return rounded(auc_exact(items, "l_extendedprice", slices=64), 8, "auc")
+
+
 @query(
     "auc_by_supplier",
     f"""WITH items AS (SELECT l_suppkey, l_extendedprice, (l_returnflag = 'A')::INT AS label FROM lineitem),

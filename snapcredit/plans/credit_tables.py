@@ -26,29 +26,27 @@ LOANS = """
 
 # Allowed categories.
 OCCUPATIONS = [
-    "Accountant", "Architect", "Developer", "Doctor", "Engineer", "Entrepreneur", "Journalist",
-    "Lawyer", "Manager", "Mechanic", "Media_Manager", "Musician", "Other", "Scientist", "Teacher",
-    "Writer",
+    "Scientist", "Media_Manager", "Musician", "Lawyer", "Teacher", "Developer", "Writer", "Architect",
+    "Mechanic", "Entrepreneur", "Journalist", "Doctor", "Engineer", "Accountant", "Manager", "Other",
 ]
-CREDIT_MIXES = ["Bad", "Good", "Standard", "Unknown"]
+CREDIT_MIXES = ["Good", "Bad", "Standard", "Unknown"]
 PAYMENT_BEHAVIOURS = [
-    "High_spent_Large_value_payments", "High_spent_Medium_value_payments",
-    "High_spent_Small_value_payments", "Low_spent_Large_value_payments",
-    "Low_spent_Medium_value_payments", "Low_spent_Small_value_payments",
+    "Low_spent_Small_value_payments", "Low_spent_Medium_value_payments",
+    "Low_spent_Large_value_payments", "High_spent_Small_value_payments",
+    "High_spent_Medium_value_payments", "High_spent_Large_value_payments",
 ]
 LOAN_TYPES = [
-    "Auto Loan", "Credit-Builder Loan", "Debt Consolidation Loan", "Home Equity Loan",
-    "Mortgage Loan", "Not Specified", "Payday Loan", "Personal Loan", "Student Loan",
+    "Personal Loan", "Student Loan", "Payday Loan", "Auto Loan", "Home Equity Loan", "Mortgage Loan",
+    "Credit-Builder Loan", "Debt Consolidation Loan", "Not Specified",
 ]
 
 # Valid ranges; anything else becomes 0.
 ATTRIBUTE_RANGES = {"Age": Bounds(0, 100, closed=True)}
 PERCENT_COLUMNS = ["Interest_Rate", "Credit_Utilization_Ratio"]
 POSITIVE_COLUMNS = [
-    "Amount_invested_monthly", "Annual_Income", "Changed_Credit_Limit", "Delay_from_due_date",
-    "Monthly_Balance", "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card",
-    "Num_Credit_Inquiries", "Num_of_Delayed_Payment", "Num_of_Loan", "Outstanding_Debt",
-    "Total_EMI_per_month",
+    "Annual_Income", "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan",
+    "Delay_from_due_date", "Num_of_Delayed_Payment", "Changed_Credit_Limit", "Num_Credit_Inquiries",
+    "Outstanding_Debt", "Total_EMI_per_month", "Amount_invested_monthly", "Monthly_Balance",
 ]
 FINANCIAL_RANGES = {c: Bounds(low=0) for c in POSITIVE_COLUMNS} | {
     c: Bounds(low=0, high=100) for c in PERCENT_COLUMNS

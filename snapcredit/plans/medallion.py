@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapcredit.functions.casts import pattern_gated_cast, schema_enforce
-from snapcredit.functions.dates import as_date
+from snapcredit.functions.dates import as_date, shift_months
 from snapcredit.functions.text import duration_months, token_counts
 from snapcredit.models.registry import load_champion, promote_champion, save_model
 from snapcredit.models.scoring import positive_probability, score_snapshots
@@ -173,7 +174,7 @@ def write_training_sets(
     require_snapshots(features, start, end)
     window = F.col("snapshot_date").between(F.lit(as_date(start)), F.lit(as_date(end)))
     history = label_join(features.where(window), labels.where(window))
-    write_snapshots(training_sets(history, KEYS, n_oot), path, partition="split")
+    write_snapshots(training_sets(history, KEYS, n_oot), path, partition="split", whole_table=True)
 
 
 def train_models(
@@ -191,7 +192,8 @@ def train_models(
     for name, estimator, space in (("gbt", gbt(), GBT_SPACE), ("logreg", logreg(), LOGREG_SPACE)):
         grid = sample_space(space, n_trials, seed)
         found = random_search(estimator, grid, train, validation, columns, parallelism, sets)
-        save_model(spark, found, registry_path, name, f"{name}_{seed}_{n_trials}")
+        run = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}_{uuid4().hex[:8]}"
+        save_model(spark, found, registry_path, name, f"{name}_{seed}_{n_trials}_{run}")
     return promote_champion(spark, registry_path)
 
 
@@ -217,19 +219,26 @@ def monitor(
     predictions: DataFrame,
     training: DataFrame,
     labels: DataFrame,
-    features: Sequence[str],
+    features: Sequence[str] | None,
     snapshot: str | dt.date,
     log_path: str,
     months: int = 6,
 ) -> None:
-    """Log the drift of a scored snapshot, then evaluate the snapshot whose labels arrived with it."""
+    """Log the drift of a scored snapshot, then evaluate the snapshot whose labels arrived with it.
+
+    ``features`` may be the champion's own, of its registry row; None takes all that both have. Of the
+    predictions only the two snapshots concerned are read.
+    """
+    if features is None:
+        features = [c for c in feature_columns(training) if c in predictions.columns]
     spark, day = predictions.sparkSession, as_date(snapshot)
     current = predictions.where(F.col("snapshot_date") == F.lit(day))
     report = drift_report(training, current, features).select(
         F.lit(day).alias("snapshot_date"), "*", F.lit(None).cast("double").alias("auc")
     )
     write_snapshots(report, log_path, "json")
-    scored = predictions.withColumn("score", positive_probability())
+    made = F.col("snapshot_date") == F.lit(shift_months(day, -months))
+    scored = predictions.where(made).withColumn("score", positive_probability())
     arrived = labels.where(F.col("snapshot_date") == F.lit(day))
     evaluated = delayed_auc(scored, arrived, "score", months=months).select("snapshot_date", "auc")
     merge_metrics_log(spark, log_path, METRICS_LOG, evaluated)

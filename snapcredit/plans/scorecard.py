@@ -10,12 +10,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapcredit.functions.dates import as_date
 from snapcredit.models.scoring import narrow_scores, positive_probability
 from snapcredit.models.training import CV_GBT_SPACE, SearchResult, cv_search, gbt, sample_space, split_stats
 from snapcredit.operators.evaluation import auc_exact
 from snapcredit.operators.features import KEYS
 from snapcredit.operators.scaling import fit_scaler
-from snapcredit.operators.splits import date_window_split, stratified_split
+from snapcredit.operators.splits import date_window_split, stratified_split, training_windows
+from snapcredit.sources.sinks import write_snapshots
 
 
 def window_sets(
@@ -23,14 +25,15 @@ def window_sets(
     features: DataFrame,
     train_date: str | dt.date,
     path: str,
-    row_keys: Sequence[str] = KEYS,
+    row_keys: Sequence[str],
     test_share: float = 0.2,
     seed: str = "88",
 ) -> DataFrame:
     """Labels with the features of their key and snapshot as ``train``, ``test`` and ``oot``.
 
     Training and test are a stratified split of the months before the out-of-time window. The sets are
-    stored below ``path`` so that fitting only scans them; ``row_keys`` identify a label.
+    stored below ``path`` so that fitting only scans them; ``row_keys`` identify a label: with the key of
+    its loan among them, as customer and month alone do not.
     """
     joined = date_window_split(labels.join(features, list(KEYS), "left"), train_date)
     inside = joined.where(F.col("split") == "train_test")
@@ -67,6 +70,41 @@ def model_card(model: PipelineModel, sets: DataFrame, name: str) -> DataFrame:
     return split_stats(sets).join(quality, "split").withColumn("model_name", F.lit(name))
 
 
+def write_card(
+    found: SearchResult,
+    sets: DataFrame,
+    name: str,
+    path: str,
+    train_date: str | dt.date,
+    train_months: int = 12,
+    oot_months: int = 2,
+) -> None:
+    """The card as one JSON row per model: windows, parameters, metrics, and rows and quality per set."""
+    windows = training_windows(train_date, train_months, oot_months)
+    card = model_card(found.model, sets, name)
+    sized = [c for c in card.columns if c != "model_name"]
+    row = card.groupBy("model_name").agg(F.sort_array(F.collect_list(F.struct(*sized))).alias("sets"))
+    row.select(
+        "model_name",
+        F.lit(str(as_date(train_date))).alias("train_date"),
+        *[
+            F.struct(F.lit(str(a)).alias("first"), F.lit(str(b)).alias("last")).alias(window)
+            for window, (a, b) in windows.items()
+        ],
+        F.to_json(F.create_map(*[F.lit(str(x)) for p in found.params.items() for x in p])).alias("params"),
+        F.to_json(F.create_map(*[F.lit(str(x)) for p in found.metrics.items() for x in p])).alias("metrics"),
+        "sets",
+    ).write.mode("append").json(path)
+
+
+def write_scores(
+    model: PipelineModel, features: DataFrame, snapshots: Sequence[str | dt.date], name: str, path: str
+) -> None:
+    """Scores of several snapshots in one job, a folder per model and in it one per snapshot."""
+    wanted = features.where(F.col("snapshot_date").isin([as_date(s) for s in snapshots]))
+    write_snapshots(narrow_scores(model.transform(wanted), name).drop("model_name"), f"{path.rstrip('/')}/{name}")
+
+
 def score_snapshot(
     model: PipelineModel, features: DataFrame, snapshot: str | dt.date, name: str
 ) -> DataFrame:

@@ -29,16 +29,16 @@ def read_csv(
     return (reader.schema(schema) if schema else reader.option("inferSchema", infer)).csv(path)
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
+def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Paths of the data files below ``path``, listed by Spark; no file content is read."""
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
     )
 
 
-def detect_format(spark: SparkSession, path: str) -> str:
-    """``csv`` or ``parquet``; mixed or other formats are refused."""
-    extension = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
+def detect_format(spark: SparkSession, path: str | list[str]) -> str:
+    """``csv`` or ``parquet``, compressed or not; mixed or other formats are refused."""
+    extension = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)(\.(gz|bz2|zst|lz4|snappy|deflate))?$", 1))
     found = sorted(r[0] for r in _files(spark, path).select(extension).distinct().limit(10).collect())
     if len(found) != 1 or found[0] not in FORMATS:
         raise ValueError(f"{path} must hold either csv or parquet files, found: {found}")
@@ -52,7 +52,7 @@ def load_all(
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """All snapshots below one path, or below several."""
-    fmt = fmt or detect_format(spark, path if isinstance(path, str) else path[0])
+    fmt = fmt or detect_format(spark, path)
     if fmt == "csv":
         return read_csv(spark, path, schema)
     if fmt == "parquet":
@@ -85,7 +85,6 @@ def load_datasets(spark: SparkSession, path: str, split_column: str = "split") -
         _files(spark, path)
         .select(partition.alias("partition"), directory.alias("directory"))
         .distinct()
-        .limit(1_000)
         .collect()
     )
     splits = sorted({r.partition for r in found if r.partition})

@@ -8,9 +8,14 @@ from pyspark.sql import types as T
 
 
 def write_snapshots(
-    df: DataFrame, path: str, fmt: str = "parquet", partition: str = "snapshot_date"
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition: str = "snapshot_date",
+    whole_table: bool = False,
 ) -> None:
-    """Write one directory per snapshot, replacing exactly the snapshots present in ``df``.
+    """Write one directory per snapshot, replacing exactly the snapshots present in ``df``, or, with
+    ``whole_table``, all that is there.
 
     A rerun gives the same table. REBALANCE brings the rows of a snapshot together so that each
     directory gets few files, and lets adaptive execution split a snapshot that is too large for one
@@ -19,7 +24,7 @@ def write_snapshots(
     writer = (
         df.hint("rebalance", partition)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .partitionBy(partition)
     )
     if fmt == "csv":

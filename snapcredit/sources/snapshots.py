@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -30,9 +31,20 @@ def month_spine_of(df: DataFrame, name: str = "snapshot_date") -> DataFrame:
     return ends.select(F.explode(months).alias(name))
 
 
+def present_snapshots(df: DataFrame, name: str = "snapshot_date") -> DataFrame:
+    """Snapshots with data. Of a table partitioned by snapshot they are read off the paths of its files,
+    and no file is opened."""
+    paths = df.inputFiles()
+    dates = {m[1] for p in paths if (m := re.search(rf"/{re.escape(name)}=(\d{{4}}-\d\d-\d\d)/", p))}
+    if not dates or len(dates) < len({p.rsplit("/", 1)[0] for p in paths}):
+        return df.select(name).distinct()
+    rows = [(as_date(d),) for d in sorted(dates)]
+    return df.sparkSession.createDataFrame(rows, f"`{name}` date")
+
+
 def missing_snapshots(df: DataFrame, spine: DataFrame, name: str = "snapshot_date") -> DataFrame:
     """Months of the spine without a row in ``df``."""
-    return spine.join(df.select(name).distinct(), name, "left_anti")
+    return spine.join(present_snapshots(df, name), name, "left_anti")
 
 
 def snapshots_available(df: DataFrame, start: str | dt.date, end: str | dt.date) -> bool:

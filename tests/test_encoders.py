@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from snapcredit.operators.aggregates import arg_max, columns_like, corr_matrix, label_ratio, top_k
 from snapcredit.operators.encoders import categories_of, category_index, one_hot, string_index
@@ -18,17 +19,24 @@ def test_one_hot(spark):
     ]
     declared = one_hot(df, "k", ["Z", "!!"], keep_source=True)
     assert declared.columns == ["id", "k", "k_Z", "k_category_1"]
-    with pytest.raises(ValueError, match="categories"):
-        categories_of(df, "k", max_categories=2)
+    named = one_hot(df, "k", ["Other", "!!"], drop_label="Other", fallback="phrase")
+    assert named.columns == ["id", "k_phrase_0"]
+    assert categories_of(df, "k") == ["A", "B", "C", "Other"]
 
 
-@pytest.mark.parametrize("max_small", [10_000, 2])
-def test_category_index(spark, max_small):
+def test_category_index(spark):
     df = letters(spark, list("bbbaaccd") + [None])
-    index = {r.category: (r.frequency, r["index"]) for r in category_index(df, "k", max_small).collect()}
+    index = {r.category: (r.frequency, r["index"]) for r in category_index(df, "k").collect()}
     assert index == {"b": (3, 0.0), "a": (2, 1.0), "c": (2, 2.0), "d": (1, 3.0)}
 
 
+def test_many_categories_are_numbered_in_order(spark):
+    df = spark.range(3_000).select(F.concat(F.lit("c"), (F.col("id") % 1_100).cast("string")).alias("k"))
+    found = category_index(df, "k").collect()
+    expected = sorted(found, key=lambda r: (-r.frequency, r.category))
+    assert [r["index"] for r in expected] == [float(i) for i in range(1_100)]
+
+
 def test_string_index_skips_nulls(spark):
     found = string_index(letters(spark, ["x", "y", "y", None]), "k")
     assert {(r.id, r.k_index) for r in found.collect()} == {(0, 1.0), (1, 0.0), (2, 0.0)}

@@ -185,3 +185,34 @@ def test_scoring_and_monitoring(spark, gold, trained):
     known = {r.snapshot_date: r.n for r in found.groupBy("snapshot_date").agg(F.count("auc").alias("n")).collect()}
     # the labels of September judge the predictions of March
     assert known == {dt.date(2023, 3, 1): 10, dt.date(2023, 9, 1): 0}
+
+
+def test_fewer_out_of_time_months_leave_no_stale_sets(spark, gold, tmp_path):
+    path = str(tmp_path / "sets")
+    for n_oot, names in ((3, {"oot_1", "oot_2", "oot_3"}), (2, {"oot_1", "oot_2"})):
+        m.write_training_sets(gold["features"], gold["labels"], path, START, END, n_oot=n_oot)
+        assert {n for n in m.load_datasets(spark, path) if n.startswith("oot")} == names
+
+
+def test_a_retrain_that_scores_lower_is_not_read_as_the_old_one(spark, trained, tmp_path):
+    from snapcredit.models.registry import save_model
+    from snapcredit.models.training import SearchResult
+
+    model, row = load_champion(spark, trained["registry"])
+    root = str(tmp_path / "registry")
+    for name, auc in (("a", 1.0), ("b", 0.7), ("a", 0.6)):
+        save_model(spark, SearchResult(model, {}, {"val_auc": auc}), root, "gbt", name)
+    found = read_registry(spark, root)
+    assert {r.model_name: r.metrics["val_auc"] for r in found.collect()} == {"a": 0.6, "b": 0.7}
+    assert champion(found).first().model_name == "b"
+    names = [r.model_name for r in read_registry(spark, trained["registry"]).collect()]
+    assert len(set(names)) == len(names) == 2
+
+
+def test_monitoring_an_empty_month(spark, gold, trained, tmp_path):
+    path, log = str(tmp_path / "predictions"), str(tmp_path / "log")
+    m.score(spark, trained["registry"], gold["features"], ["2023-03-01"], path)
+    training = m.load_datasets(spark, trained["sets"])["training"]
+    m.monitor(spark.read.parquet(path), training, gold["labels"], None, "2023-04-01", log)
+    rows = m.metrics_log(spark, log).collect()
+    assert rows and all(r.label_ratio == 0 and r.psi is None for r in rows)

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from snapcredit.operators.drift import drift_report, ks_two_sample, population_moments, psi
 from snapcredit.operators.evaluation import auc_exact, delayed_auc, gini_by_split
@@ -144,7 +145,7 @@ def test_delayed_auc(spark):
 
 def test_slices_grow_with_the_rows(spark):
     df = spark.range(20_000).selectExpr("cast(id % 5000 as double) as x")
-    assert slice_cuts(df, ["x"], 20_000) == {"x": [0.0]}
+    assert len(slice_cuts(df, ["x"], 20_000)["x"]) == 7
     cuts = slice_cuts(df, ["x"], 20_000, slices=10)["x"]
     assert len(cuts) == 9
     for i, cut in enumerate(cuts, 1):
@@ -158,3 +159,26 @@ def test_many_slices(spark):
     df = spark.range(5_000).selectExpr("cast(id as double) as x", "cast(id % 3 = 0 as int) as label")
     few, many = (auc_exact(df, "x", slices=n).first().auc for n in (1, 2_000))
     assert few == pytest.approx(many)
+
+
+def test_values_that_are_not_finite_are_left_out(spark):
+    rng = random.Random(8)
+    a, b = [rng.gauss(0, 1) for _ in range(100)], [rng.gauss(2, 1) for _ in range(100)]
+    odd = [float("nan"), float("inf"), float("-inf"), None]
+    for slices in (None, 5):
+        plain = drift_report(column(spark, a), column(spark, b), ["x"], None, slices=slices).first()
+        dirty = drift_report(column(spark, a + odd), column(spark, odd + b), ["x"], None, slices=slices).first()
+        assert dirty.asDict() == pytest.approx(plain.asDict())
+        assert plain.psi > 1
+    assert psi(column(spark, a + odd), column(spark, b), ["x"]).first().psi == pytest.approx(plain.psi)
+
+
+def test_a_side_without_values(spark):
+    some, none = column(spark, [1.0, 2.0]), column(spark, [None, float("nan")])
+    empty = some.limit(0)
+    for side in (none, empty):
+        report = drift_report(some, side, ["x"], None).first()
+        assert report.psi is None and report.ks is None and report.mean_curr is None and report.mean_train == 1.5
+    assert drift_report(none, none, ["x"], None).first().psi is None
+    ratio = drift_report(some.withColumn("prediction", F.lit(1)), empty.withColumn("prediction", F.lit(1)), ["x"]).first()
+    assert ratio.label_ratio == 0

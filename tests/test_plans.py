@@ -31,25 +31,25 @@ def test_no_python_on_the_executors(plans):
 
 
 def test_broadcasts_are_checked(plans):
-    # a category index and the keys of a range join, both counted first
-    assert {n for n, p in plans.items() if "BroadcastExchange" in p} == {
-        "string_index", "string_index_segment", "range_join_agg", "feature_store",
-    }
+    # none is asked for: adaptive execution broadcasts what turns out to be small
+    assert not {n for n, p in plans.items() if "BroadcastExchange" in p}
 
 
 def test_windows_are_partitioned(plans):
     for name, p in plans.items():
         for window in re.findall(r"Window \[.*?windowspecdefinition\((.*?)specifiedwindowframe", p):
             first = window.split(",")[0]
-            assert not re.search(" (ASC|DESC) ", first), (name, window)
+            # the offsets of a category index are one row per sorted partition
+            assert not re.search(" (ASC|DESC) ", first) or "_part" in first, (name, window)
 
 
 def test_single_partition_only_for_totals(plans):
-    # a row each: profiles, correlations, ends of the spine, one AUC, one champion
+    # a row each: profiles, correlations, ends of the spine, one AUC, one champion; a row per partition
     single = {n for n, p in plans.items() if "Exchange SinglePartition" in p}
     assert single <= {
         "nonnull_profile", "describe_profile", "corr_matrix", "corr_matrix_by_suffix", "month_spine",
-        "population_moments", "auc_exact", "model_champion",
+        "population_moments", "auc_exact", "auc_sliced", "model_champion", "string_index", "string_index_segment",
+        "string_index_large", "logreg_balance",
     }
 
 
@@ -62,7 +62,7 @@ def test_top_one_is_cut_before_the_shuffle(plans):
 def test_row_operators_do_not_shuffle(plans):
     for name in (
         "schema_enforce", "pattern_gated_cast", "range_validate", "domain_validate", "token_counts",
-        "delinquency", "label_store", "one_hot", "hash_split", "stratified_split", "silver_loans",
+        "delinquency", "label_store", "one_hot", "hash_split", "silver_loans",
     ):
         assert "Exchange" not in plans[name], name
 
@@ -88,5 +88,6 @@ def test_partial_aggregation(plans):
     assert plans["multi_avg"].count("Exchange") == 1
 
 
-def test_as_of_shuffles_once(plans):
-    assert len(re.findall(r"Exchange hashpartitioning", plans["asof_latest"])) == 1
+def test_as_of_windows_hold_a_slice_of_a_key(plans):
+    windows = re.findall(r"Window \[last\(_hit.*?windowspecdefinition\((.*?) ASC", plans["asof_latest"])
+    assert windows and all("_slice" in w for w in windows)

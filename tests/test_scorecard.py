@@ -28,7 +28,7 @@ def test_scorecard(spark, tmp_path):
     labels = features.select(
         "Customer_ID", "snapshot_date", (F.col("fe_1") + F.col("fe_2") > 8).cast("int").alias("label")
     )
-    sets = scorecard.window_sets(labels, features, "2024-04-01", str(tmp_path / "sets"))
+    sets = scorecard.window_sets(labels, features, "2024-04-01", str(tmp_path / "sets"), ["Customer_ID", "snapshot_date"])
     sizes = {r.split: r["count"] for r in sets.groupBy("split").count().collect()}
     assert sizes["oot"] == 80 and sizes["train"] + sizes["test"] == 480
     assert sizes["test"] == pytest.approx(96, abs=2)
@@ -44,3 +44,9 @@ def test_scorecard(spark, tmp_path):
     scores = scorecard.score_snapshot(loaded, features, "2024-03-01", "m")
     assert scores.count() == 40
     assert scores.columns == ["Customer_ID", "snapshot_date", "model_name", "model_predictions"]
+    scorecard.write_card(found, sets, "m", str(tmp_path / "cards"), "2024-04-01")
+    stored = spark.read.json(str(tmp_path / "cards")).first()
+    assert stored.model_name == "m" and stored.oot["first"] == "2024-02-01" and len(stored.sets) == 3
+    assert "maxDepth" in stored.params and "cv_auc" in stored.metrics
+    scorecard.write_scores(loaded, features, ["2024-02-01", "2024-03-01"], "m", str(tmp_path / "scores"))
+    assert spark.read.parquet(str(tmp_path / "scores" / "m")).groupBy("snapshot_date").count().count() == 2

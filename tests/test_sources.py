@@ -122,3 +122,32 @@ def test_scratch_is_shared(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "t"), scratch_path(spark, "t")
     assert one.startswith(root) and one != two
+
+
+def test_snapshots_are_listed_without_opening_a_file(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [(dt.date(2023, m, 1), m) for m in (1, 2, 4)]
+    sinks.write_snapshots(spark.createDataFrame(rows, "snapshot_date date, v int"), path)
+    for file in (tmp_path / "table").rglob("*.parquet"):
+        if "2023-02" in str(file):
+            file.write_bytes(b"not parquet")
+    table = spark.read.schema("v int, snapshot_date date").parquet(path)
+    spine = snapshots.month_spine(spark, "2023-01-01", "2023-04-01")
+    assert [r[0] for r in snapshots.missing_snapshots(table, spine).collect()] == [dt.date(2023, 3, 1)]
+    assert not snapshots.snapshots_available(table, "2023-01-01", "2023-04-01")
+
+
+def test_more_datasets_than_a_thousand(spark, tmp_path):
+    rows = [(f"s{i:04}", i) for i in range(1_050)]
+    frame = spark.createDataFrame(rows, "split string, v int").coalesce(1)
+    frame.write.partitionBy("split").parquet(str(tmp_path / "sets"))
+    assert len(scans.load_datasets(spark, str(tmp_path / "sets"))) == 1_050
+
+
+def test_formats_of_several_paths(spark, tmp_path):
+    one = spark.createDataFrame([(1,)], "v int")
+    one.write.parquet(str(tmp_path / "p"))
+    one.write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "c"))
+    assert scans.detect_format(spark, str(tmp_path / "c")) == "csv"
+    with pytest.raises(ValueError, match="csv or parquet"):
+        scans.detect_format(spark, [str(tmp_path / "p"), str(tmp_path / "c")])
