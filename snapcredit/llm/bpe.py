@@ -145,12 +145,20 @@ class PrefixEncoder:
             text = text[:-1] + chr(word[-1] + LAST)
         last = [-1] * len(text)
         size = [0] * len(text)
-        compatible = self.compatible
+        known, compatible = self.known.get, self.compatible
         for end, (token, length) in self.matches(text):
             if last[end] < 0:
                 before = end - length
-                if before < 0 or (last[before] >= 0 and compatible(last[before], token)):
-                    last[end], size[end] = token, length
+                if before >= 0:
+                    left = last[before]
+                    if left < 0:
+                        continue
+                    fine = known(left << 20 | token)
+                    if fine is None:
+                        fine = compatible(left, token)
+                    if not fine:
+                        continue
+                last[end], size[end] = token, length
         ids, at = [], len(text) - 1
         while at >= 0:
             ids.append(last[at])

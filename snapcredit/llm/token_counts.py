@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import struct
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,17 @@ class OffsetTokenizer:
         self.encoder = PrefixEncoder(vocabulary)
         self.split = regex.compile(BYTE_PATTERN).findall
         self.pieces = Cache(self._piece)
+        self.sizes = {i: len(s) for i, s in self.encoder.spelled.items()}
 
     def _piece(self, piece: str) -> tuple[int, bytes, bytes]:
         """Characters of a piece, and the first character and that after the last of each token."""
         data = piece.encode()
-        sizes = np.array([len(self.encoder.spelled[i]) for i in self.encoder.encode(data)])
+        sizes = [self.sizes[i] for i in self.encoder.encode(data)]
+        if len(data) == len(piece):  # a byte is a character
+            ends = list(accumulate(sizes))
+            form = f"<{len(ends)}i"
+            return len(piece), struct.pack(form, 0, *ends[:-1]), struct.pack(form, *ends)
+        sizes = np.array(sizes)
         ends = np.cumsum(sizes)
         # A token may begin or end inside a character: it covers each character it has a byte of.
         char = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80) - 1
