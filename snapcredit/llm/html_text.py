@@ -37,16 +37,18 @@ SCOPE = frozenset("html body table td th button object".split())
 #: What is never main text: elements, roles, and words of a class or id.
 DROPPED = frozenset("head nav aside footer form button dialog menu canvas audio video label input".split()) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+#: An article is only given up as one of these.
+COMMENT_WORDS = frozenset("comment reply replies".split())
+LAYOUT_WORDS = frozenset("has with no without".split())
+#: Elements that hold an article.
+ARTICLES = ("article", "main")
 DROPPED_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
+    "ad ads adsbygoogle adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
     "nav navbar navigation menu submenu breadcrumb breadcrumbs footer masthead sidebar sidebars rail widget widgets "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe "
     "signup login search searchform toolbar pagination pager share sharing social related recommended "
     "comment comments commentlist reply replies respond disqus discussion".split()
 )
-#: Elements that hold an article.
-ARTICLES = frozenset(("article", "main"))
-
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -85,10 +87,13 @@ def unwanted(tag: str, attributes: str, in_article: bool) -> bool:
         if name.lower() == "role":
             if value.strip().lower() in DROPPED_ROLES:
                 return True
-        elif tag not in ("html", "body") and not DROPPED_WORDS.isdisjoint(
-            WORDS.findall(CAMEL.sub(" ", value).lower())
-        ):
-            return True
+        elif tag not in ("html", "body"):
+            words = WORDS.findall(CAMEL.sub(" ", value).lower())
+            named = COMMENT_WORDS if tag in ARTICLES else DROPPED_WORDS
+            for before, word in zip(("", *words), words, strict=False):
+                # A layout "with-sidebar" is not the sidebar.
+                if word in named and before not in LAYOUT_WORDS:
+                    return True
     return False
 
 

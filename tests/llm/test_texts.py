@@ -197,6 +197,11 @@ PAGES = [
         '</div><div class="side sidebar"><p>no</p></div></body>',
         "Title\nA long first paragraph of the page, with many words in it.\nShort.",
     ),
+    (
+        '<body><div class="content with-sidebar"><p>The text of the page, in a layout with a sidebar.</p></div>'
+        '<ins class="adsbygoogle">no</ins></body>',
+        "The text of the page, in a layout with a sidebar.",
+    ),
     ("plain &lt;text&gt; only", "plain <text> only"),
     ("<p>", ""),
     ("", ""),
