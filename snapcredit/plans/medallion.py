@@ -39,7 +39,9 @@ from snapcredit.operators.quality import (
     domain_validate,
     drop_null_keys,
     fill_zero,
+    quality_counters,
     range_validate,
+    row_reconcile,
 )
 from snapcredit.operators.splits import require_history, training_sets
 from snapcredit.plans import credit_tables as tables
@@ -61,15 +63,21 @@ def ingest(
     bronze_path: str,
     start: str | dt.date,
     end: str | dt.date,
+    counts_path: str | None = None,
 ) -> None:
     """Source CSV to bronze, all months of the range in one pass over the source.
 
-    Values stay the text they are in the source; only the snapshot date is read as a date.
+    Values stay the text they are in the source; only the snapshot date is read as a date. With
+    ``counts_path`` the rows, those without a readable date and those outside the range are logged there.
     """
     day = F.col("snapshot_date").try_cast("date")
     source = read_csv(spark, csv_path, infer=False).withColumn("snapshot_date", day)
     window = F.col("snapshot_date").between(F.lit(as_date(start)), F.lit(as_date(end)))
     write_snapshots(source.where(window), bronze_path, "csv")
+    if counts_path:
+        left_out = {"no_date": day.isNull(), "outside": ~window}
+        counted = quality_counters(source, left_out).withColumn("bronze", F.lit(bronze_path))
+        counted.write.mode("append").json(counts_path)
 
 
 def typed(df: DataFrame, table: str, gated: bool = True) -> DataFrame:
@@ -126,18 +134,24 @@ def refresh(
     silver_paths: Mapping[str, str],
     start: str | dt.date,
     end: str | dt.date,
+    counts_path: str | None = None,
 ) -> dict[str, list[dt.date]]:
-    """Build the silver snapshots that are missing in the range; returns their dates per table."""
-    return {
-        name: backfill(
-            read_csv(spark, path, infer=False),
-            lambda df, name=name: silver(df, name),
-            silver_paths[name],
-            start,
-            end,
-        )
-        for name, path in bronze.items()
-    }
+    """Build the silver snapshots that are missing in the range; returns their dates per table.
+
+    With ``counts_path`` the rows of each built snapshot before and after cleaning are logged there.
+    """
+    built = {}
+    for name, path in bronze.items():
+        source = read_csv(spark, path, infer=False)
+        dates = backfill(source, lambda df, name=name: silver(df, name), silver_paths[name], start, end)
+        built[name] = dates
+        if counts_path and dates:
+            layers = (
+                df.where(F.col("snapshot_date").isin(dates)) for df in (source, spark.read.parquet(silver_paths[name]))
+            )
+            counted = row_reconcile(*layers, by=["snapshot_date"]).withColumn("table", F.lit(name))
+            counted.write.mode("append").json(counts_path)
+    return built
 
 
 def gold_labels(loans: DataFrame, dpd: int = 30, mob: int = 6) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,15 @@ def read_csv(
     return (reader.schema(schema) if schema else reader.option("inferSchema", infer)).csv(path)
 
 
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """CSV folders whose headers differ, such as months that gained or moved columns, united by column name.
+
+    Each folder is read by its own header; a column that a folder lacks is null there. Values are text.
+    """
+    frames = [read_csv(spark, path, infer=False) for path in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Paths of the data files below ``path``, listed by Spark; no file content is read."""
     return (

@@ -91,8 +91,8 @@ def gold(spark, sources, tmp_path_factory):
     bronze = {n: str(root / "bronze" / n) for n in sources}
     silver = {n: str(root / "silver" / n) for n in sources}
     for name, path in sources.items():
-        m.ingest(spark, path, bronze[name], START, END)
-    built = m.refresh(spark, bronze, silver, START, END)
+        m.ingest(spark, path, bronze[name], START, END, str(root / "ingested"))
+    built = m.refresh(spark, bronze, silver, START, END, str(root / "refreshed"))
     assert all(len(dates) == MONTHS for dates in built.values())
     assert not any(m.refresh(spark, bronze, silver, START, END).values())
     clean = {n: spark.read.parquet(p) for n, p in silver.items()}
@@ -109,6 +109,17 @@ def gold(spark, sources, tmp_path_factory):
     }
 
 
+def test_counts_are_logged(spark, gold):
+    ingested = {r.bronze.rsplit("/", 1)[1]: r for r in spark.read.json(str(gold["root"] / "ingested")).collect()}
+    assert set(ingested) == set(gold["clean"])
+    assert all(r.n_rows > r.no_date + r.outside >= 0 for r in ingested.values())
+    refreshed = spark.read.json(str(gold["root"] / "refreshed"))
+    for name, df in gold["clean"].items():
+        rows = refreshed.where(F.col("table") == name).collect()
+        assert len(rows) == MONTHS and sum(r.rows_after for r in rows) == df.count()
+        assert all(r.rows_removed == r.rows_before - r.rows_after for r in rows)
+
+
 def test_silver(gold):
     attributes = gold["clean"]["customer_attributes"]
     assert attributes.count() == MONTHS * CUSTOMERS

@@ -151,3 +151,13 @@ def test_formats_of_several_paths(spark, tmp_path):
     assert scans.detect_format(spark, str(tmp_path / "c")) == "csv"
     with pytest.raises(ValueError, match="csv or parquet"):
         scans.detect_format(spark, [str(tmp_path / "p"), str(tmp_path / "c")])
+
+
+def test_csv_months_with_other_headers(spark, tmp_path):
+    for name, frame in (
+        ("a", spark.createDataFrame([("1", "x")], "v string, w string")),
+        ("b", spark.createDataFrame([("y", "2", "z")], "w string, v string, u string")),
+    ):
+        frame.write.option("header", True).csv(str(tmp_path / name))
+    found = scans.read_csv_by_name(spark, [str(tmp_path / n) for n in "ab"])
+    assert sorted((r.v, r.w, r.u) for r in found.collect()) == [("1", "x", None), ("2", "y", "z")]
