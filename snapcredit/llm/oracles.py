@@ -19,8 +19,7 @@ def _quoted(values) -> str:
 
 
 def _failed(rule: Rule) -> str:
-    over, _, under = rule.measure.partition(" / ")
-    measure = f"{over}::DOUBLE / nullif({under}, 0)" if under else over
+    measure = f"{rule.field}::DOUBLE / nullif({rule.per}, 0)" if rule.per else rule.field
     bounds = [f"{measure} >= {rule.low}"] if rule.low is not None else []
     bounds += [f"{measure} <= {rule.high}"] if rule.high is not None else []
     return f"CASE WHEN NOT coalesce({' AND '.join(bounds)}, false) THEN '{rule.name}' END"

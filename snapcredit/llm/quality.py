@@ -24,25 +24,32 @@ BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
 
+#: Fields of `text_statistics`.
+STATISTICS = "n_words word_chars n_symbols n_dup_lines n_repeat_words n_stop_words n_lines".split()
+
+
 @dataclass(frozen=True)
 class Rule:
-    """Keep texts whose measure lies between low and high, both included; None is no bound."""
+    """Keep texts whose measure lies between low and high, both included; None is no bound.
+
+    The measure is a field of `text_statistics`, or its ratio to the field `per`.
+    """
 
     name: str
-    measure: str
+    field: str
+    per: str | None = None
     low: float | None = None
     high: float | None = None
 
 
-#: Measures are SQL over the fields of `text_statistics`.
 RULES = (
     Rule("few_words", "n_words", low=50),
-    Rule("word_length", "word_chars / n_words", low=2.5, high=12),
-    Rule("symbols", "n_symbols / n_words", high=0.1),
-    Rule("stop_words", "n_stop_words / n_words", low=0.04),
-    Rule("repeated_lines", "n_dup_lines / n_lines", high=0.5),
-    Rule("repeated_words", "n_repeat_words / n_words", high=0.5),
-    Rule("long_lines", "n_words / n_lines", high=5_000),
+    Rule("word_length", "word_chars", "n_words", low=2.5, high=12),
+    Rule("symbols", "n_symbols", "n_words", high=0.1),
+    Rule("stop_words", "n_stop_words", "n_words", low=0.04),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", high=0.5),
+    Rule("repeated_words", "n_repeat_words", "n_words", high=0.5),
+    Rule("long_lines", "n_words", "n_lines", high=5_000),
 )
 
 
@@ -102,14 +109,30 @@ def text_statistics(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Col
     return let(F.struct(words.alias("w"), lines.alias("l")), lambda x: of(x["w"], x["l"]))
 
 
-def passes(rule: Rule) -> Column:
+def passes(statistics: Column, rule: Rule) -> Column:
     """A measure that is not defined, as in a text without words, fails."""
-    measure = F.expr(f"try_divide({', '.join(rule.measure.split(' / '))})") if " / " in rule.measure else F.expr(rule.measure)
+    measure = statistics[rule.field]
+    if rule.per:
+        measure = F.try_divide(measure, statistics[rule.per])
     bounds = [measure >= rule.low] if rule.low is not None else []
     bounds += [measure <= rule.high] if rule.high is not None else []
     return F.coalesce(reduce(lambda a, b: a & b, bounds), F.lit(False))
 
 
+def judged(text: Column, rules: Sequence[Rule] = RULES, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+    """Struct of the statistics, failed, base_failed and kept, with each text counted once: a filter on one
+    of its fields that is moved below a projection carries one copy of the counts."""
+
+    def verdict(s: Column) -> Column:
+        failed = F.filter(F.array(*(F.when(~passes(s, r), r.name) for r in rules)), lambda x: x.isNotNull())
+        base = (s["n_words"] < 50) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
+        kept = ~base & (F.size(failed) == 0)
+        own = [s[name].alias(name) for name in STATISTICS]
+        return F.struct(*own, failed.alias("failed"), base.alias("base_failed"), kept.alias("kept"))
+
+    return let(text_statistics(text, stop_words), verdict)
+
+
 def quality_rules(
     docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:
@@ -120,12 +143,12 @@ def quality_rules(
     (neither base_failed nor failed). A column of `docs` with one of these names is replaced. Null and
     empty texts have zero counts and fail; each repeated row is judged alike.
     """
-    measured = docs.withColumn("_statistics", text_statistics(F.col(text), stop_words))
-    names = [f.name for f in measured.schema["_statistics"].dataType.fields]
-    own = [c for c in docs.columns if c.lower() not in {*names, "failed", "base_failed", "kept"}]
-    flat = measured.select(*own, *(F.col(f"_statistics.{n}").alias(n) for n in names))
-    failed = F.filter(F.array(*(F.when(~passes(r), r.name) for r in rules)), lambda x: x.isNotNull())
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return flat.withColumns({"failed": failed, "base_failed": base}).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("failed") == 0)
-    )
+    added = [*STATISTICS, "failed", "base_failed", "kept"]
+    own = [c for c in docs.columns if c.lower() not in added]
+    found = docs.select(*own, judged(F.col(text), rules, stop_words).alias("_judged"))
+    return found.select(*own, *(F.col(f"_judged.{name}").alias(name) for name in added))
+
+
+def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of `docs` that the rules keep, with their columns."""
+    return docs.where(judged(F.col(text), rules)["kept"])
