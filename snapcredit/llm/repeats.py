@@ -123,9 +123,11 @@ def with_copies(found: DataFrame, wanted: str) -> DataFrame:
     them, the one with the smallest (doc_id, start), null first, and `rivals`, the different segments of
     its anchor. Segments alone in their anchor are left out. Kept as a table of the `wanted` rows: all
     that follows reads it instead of the texts. `anchor` stays where single windows are compared."""
-    contents = found.groupBy("anchor", "content").agg(
+    grouped = found.groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "start")).alias("place")
     )
+    # Also kept: it is needed whole and by anchor, and would be grouped once for each.
+    contents = stored(grouped, "contents")
     rivals = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("rivals"))
     contents = contents.join(rivals, "anchor").where("copies > 1 or rivals > 1")
     first = F.col("doc_id").eqNullSafe(F.col("place.doc_id")) & (F.col("start") == F.col("place.start"))
