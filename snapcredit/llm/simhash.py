@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -217,6 +219,18 @@ def fingerprint_links(fps: DataFrame, budget: int = BUDGET, subtree: int = SUBTR
     return map_arrow(dealt.repartition("walk").sortWithinPartitions("walk"), walk, "a long, b long").distinct()
 
 
+def component_ids(signed: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of `signed` (doc_id, text_hash, fp) with the smallest doc_id that `links` (a, b) of fp reach."""
+    classes = signed.groupBy("fp").agg(F.min("doc_id").alias("smallest"))
+    roots = connected_components(links, "a", "b")
+    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        "fp", "smallest", F.coalesce("root", "fp").alias("root")
+    )
+    component = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    labels = rooted.join(component, "root").select("fp", "component_id")
+    return signed.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -236,23 +250,16 @@ def near_duplicates(
     other columns are not carried.
     """
     signed = checkpointed(fingerprints(keyed_texts(docs, doc_id, text), shingle, seed))
-    classes = signed.groupBy("fp").agg(F.min("doc_id").alias("smallest"))
-    roots = connected_components(fingerprint_links(classes.select("fp"), budget), "a", "b")
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "smallest", F.coalesce("root", "fp").alias("root")
-    )
-    component = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    labels = rooted.join(component, "root").select("fp", "component_id")
-    return signed.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    return component_ids(signed, fingerprint_links(signed.select("fp").distinct(), budget))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, find: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
     """The rows of `docs` (doc_id, text and any others) whose document stays: one of each component.
 
     The document with the smallest doc_id stays (null last), among equal ids the one with the smallest
-    text hash, and of exactly repeated rows one.
+    text hash, and of exactly repeated rows one. `find` names the components.
     """
-    found = near_duplicates(docs, **options)
+    found = find(docs, **options)
     # Rows without an id have no component id to meet in: their fingerprint stands for it.
     group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")))
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")
