@@ -15,7 +15,7 @@ from snapcredit.llm.common import map_arrow
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript textarea title iframe template svg math object select".split())
+RAW = frozenset("script style noscript textarea title iframe template svg annotation annotation-xml object select".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table "
@@ -35,7 +35,7 @@ IMPLIED = {
 SCOPE = frozenset("html body table td th button object".split())
 
 #: What is never main text: elements, roles, and words of a class or id.
-DROPPED = frozenset("head nav aside footer form button dialog menu canvas audio video label input".split()) | RAW
+DROPPED = frozenset("head nav aside footer form button dialog menu canvas audio video input".split()) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 #: An article is only given up as one of these.
 COMMENT_WORDS = frozenset("comment reply replies".split())
@@ -49,6 +49,15 @@ DROPPED_WORDS = frozenset(
     "signup login search searchform toolbar pagination pager share sharing social related recommended "
     "comment comments commentlist reply replies respond disqus discussion".split()
 )
+#: Also words of an article: inside one they only drop an element that is mostly links.
+AMBIGUOUS_WORDS = frozenset(
+    "advert advertising sponsor sponsored promotion nav navigation menu banner rail notice notices notification alert consent "
+    "overlay subscribe login signup search share sharing social related recommended respond discussion cookie cookies "
+    "gdpr newsletter".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What an id says of a section of an article.
+SECTION_WORDS = frozenset("comment comments commentlist reply replies disqus".split())
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -69,6 +78,7 @@ class Node:
     tag: str
     parent: Node | None = None
     dropped: bool = False
+    suspect: bool = False
     parts: list = field(default_factory=list)
     chars: int = 0
     tags: int = 0
@@ -78,30 +88,62 @@ class Node:
     total: float = 0.0
 
 
-def unwanted(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is page furniture by its name, role, class or id."""
-    if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+def unwanted(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is page furniture by its name, role, class or id, and whether it is if mostly links.
+
+    Inside an article an id of a heading or paragraph is a place to link to, one of a section mostly so.
+    """
+    if tag in DROPPED or (tag in ("header", "label") and not in_article):
+        return True, False
+    suspect = False
     for name, *values in NAMED.findall(attributes) if attributes else ():
         value = "".join(values)
-        if name.lower() == "role":
+        kind = name.lower()
+        if kind == "role":
             if value.strip().lower() in DROPPED_ROLES:
-                return True
-        elif tag not in ("html", "body"):
+                return True, False
+        elif tag not in ("html", "body") and not (
+            in_article and kind == "id" and (tag in HEADINGS or tag == "p")
+        ):
             words = WORDS.findall(CAMEL.sub(" ", value).lower())
             named = COMMENT_WORDS if tag in ARTICLES else DROPPED_WORDS
             for before, word in zip(("", *words), words, strict=False):
                 # A layout "with-sidebar" is not the sidebar.
                 if word in named and before not in LAYOUT_WORDS:
-                    return True
-    return False
+                    slug = tag == "section" and kind == "id" and word not in SECTION_WORDS
+                    if not in_article or tag in ARTICLES or not (slug or word in AMBIGUOUS_WORDS):
+                        return True, False
+                    suspect = True
+    return False, suspect
+
+
+def without_link_lists(root: Node) -> Node:
+    """The tree without suspect elements half of whose text, or more, is links."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(p for p in node.parts if isinstance(p, Node))
+    counts: dict[int, tuple[int, int]] = {}
+    for node in reversed(order):
+        chars = links = 0
+        for part in node.parts:
+            c, n = counts[id(part)] if isinstance(part, Node) else (len("".join(part.split())), 0)
+            chars, links = chars + c, links + n
+        if node.tag == "a":
+            links = chars
+        if node.suspect and 2 * links >= chars:
+            node.dropped, chars, links = True, 0, 0
+        counts[id(node)] = chars, links
+        node.parts = [p for p in node.parts if not (isinstance(p, Node) and p.dropped)]
+    return root
 
 
 def parse(page: str) -> Node:
     """Tree of a page without its page furniture; text is kept as written."""
     root = Node("html")
     stack, at, low = [root], 0, None
-    articles = 0
+    articles, suspects = 0, False
     while match := TAG.search(page, at):
         if match.start() > at and not stack[-1].dropped:
             stack[-1].parts.append(page[at : match.start()])
@@ -134,7 +176,9 @@ def parse(page: str) -> Node:
         top = stack[-1]
         if tag in ("html", "body") and any(n.tag == tag for n in stack[1:]):
             continue
-        node = Node(tag, top, top.dropped or unwanted(tag, attributes, articles > 0))
+        drop, suspect = (True, False) if top.dropped else unwanted(tag, attributes, articles > 0)
+        node = Node(tag, top, drop, suspect)
+        suspects |= suspect
         if not node.dropped:
             top.parts.append(node)
         if tag not in VOID:
@@ -142,7 +186,7 @@ def parse(page: str) -> Node:
             articles += tag in ARTICLES
     if at < len(page) and not stack[-1].dropped:
         stack[-1].parts.append(page[at:])
-    return root
+    return without_link_lists(root) if suspects else root
 
 
 def measure(root: Node) -> list[Node]:
