@@ -89,7 +89,7 @@ def train_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("random_search")
-def random_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 3) -> DataFrame:
+def random_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 100) -> DataFrame:
     """Trials from the declared space; metrics of the winner on all sets."""
     data = sets(spark, sf_dir)
     train, validation = data.pop("training"), data.pop("validation")
@@ -99,7 +99,7 @@ def random_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 3) ->
 
 
 @query("cv_search")
-def cv_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 2) -> DataFrame:
+def cv_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 100) -> DataFrame:
     train = sets(spark, sf_dir)["training"]
     found = cv_search(gbt(), sample_space(CV_GBT_SPACE, n_trials), train, _features(train))
     rows = [(i, t["cv_auc"]) for i, t in enumerate(found.trials)]
@@ -130,7 +130,7 @@ def batch_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("scorecard")
-def scorecard_query(spark: SparkSession, sf_dir: str, n_trials: int = 2) -> DataFrame:
+def scorecard_query(spark: SparkSession, sf_dir: str, n_trials: int = 100) -> DataFrame:
     """Card of a cross-validated search on the fourteen months before a date."""
     labels = create_label(delinquency(ledger(spark, sf_dir)))
     features = supplier_months(spark, sf_dir)
