@@ -110,9 +110,43 @@ NEAREST = """WITH
   ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_RUNS = r"regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_RUNS = _RUNS.format(_UPPER, _LOWER)
+
+IMPORTANCE = f"""WITH
+  steps AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+             lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+  d AS (SELECT doc_id, {_RUNS} AS words FROM documents),
+  ours AS (SELECT doc_id, unnest(words) AS word FROM d),
+  theirs AS (SELECT unnest({_RUNS}) AS word FROM benchmark),
+  met AS (SELECT word, hex(encode(word)) AS h, step FROM (SELECT word FROM ours UNION SELECT word FROM theirs), steps),
+  bucketed AS (
+    SELECT word, xor(list_reduce(list_concat([4294967295], list_transform(range(len(h) // 2),
+             lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+             lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM met),
+  s AS (SELECT bucket, count(*) AS n FROM ours JOIN bucketed USING (word) GROUP BY 1),
+  t AS (SELECT bucket, count(*) AS n FROM theirs JOIN bucketed USING (word) GROUP BY 1),
+  gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+             / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM s LEFT JOIN t USING (bucket)),
+  weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM ours JOIN bucketed USING (word) JOIN gains USING (bucket) GROUP BY 1),
+  scored AS (
+    SELECT d.doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+             / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM d LEFT JOIN weights USING (doc_id)),
+  placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM placed) THEN rank END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)"""
+
 ORACLES = {
     "op3_nearest_neighbours": NEAREST,
     "op4_quality_rules": QUALITY,
     "op5_licence_scan": LICENCES,
     "op9_substring_dedup": SUBSTRINGS,
+    "op13_importance_resampling": IMPORTANCE,
 }

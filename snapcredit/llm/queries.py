@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from snapcredit.llm.bpe import encode_decode
 from snapcredit.llm.html_text import extract_main_text
+from snapcredit.llm.importance import resample
 from snapcredit.llm.licences import scan_licences
 from snapcredit.llm.neighbours import nearest
 from snapcredit.llm.oracles import ORACLES  # noqa: F401
@@ -116,3 +117,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
