@@ -111,6 +111,34 @@ NEAREST = """WITH
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+COLLOCATIONS = rf"""WITH
+  d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+  pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+  worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+  counted AS (
+    SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase, count(*) AS a
+    FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded), (SELECT unnest([1, 2, 3, 4]) AS size)
+    WHERE i + size - 1 <= len(words) GROUP BY ALL),
+  sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY 1),
+  known AS (SELECT * FROM counted WHERE a >= 30),
+  cuts AS (
+    SELECT lang, phrase, size, a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS head,
+           array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM known WHERE size > 1)),
+  scored AS (
+    SELECT cuts.*, h.a AS l, t.a AS r, (2000000::HUGEINT * cuts.a // (h.a + t.a))::BIGINT AS score
+    FROM cuts JOIN known h ON h.lang = cuts.lang AND h.phrase = head JOIN known t ON t.lang = cuts.lang AND t.phrase = tail
+    QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1),
+  inner_runs AS (
+    SELECT lang, a, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM known, (SELECT unnest([2, 3]) AS m) WHERE m < size)),
+  longer AS (SELECT lang, phrase, max(a) AS most FROM inner_runs GROUP BY ALL),
+  ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+    FROM scored LEFT JOIN longer USING (lang, phrase) WHERE NOT coalesce(100::HUGEINT * most >= 80::HUGEINT * a, false))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000"""
+
 _RUNS = r"regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _RUNS = _RUNS.format(_UPPER, _LOWER)
 
@@ -148,5 +176,6 @@ ORACLES = {
     "op4_quality_rules": QUALITY,
     "op5_licence_scan": LICENCES,
     "op9_substring_dedup": SUBSTRINGS,
+    "op12_collocations": COLLOCATIONS,
     "op13_importance_resampling": IMPORTANCE,
 }

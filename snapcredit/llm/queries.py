@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapcredit.llm.bpe import encode_decode
+from snapcredit.llm.collocations import collocations
 from snapcredit.llm.html_text import extract_main_text
 from snapcredit.llm.importance import resample
 from snapcredit.llm.licences import scan_licences
@@ -119,6 +120,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
