@@ -21,6 +21,7 @@ from snapcredit.llm.simhash import near_duplicates
 from snapcredit.llm.substring_dedup import drop_repeated_windows
 from snapcredit.llm.suffix_dedup import drop_repeated_strings
 from snapcredit.llm.token_counts import section_tokens
+from snapcredit.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +121,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
+
+
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
