@@ -35,8 +35,8 @@ BITS = 20
 #: Bytes of the beginnings and endings that are features.
 HEADS, TAILS = (3, 4, 5, 6, 7), (3, 4, 5)
 LETTER = byte_set((0x61, 0x7A), (0x80, 0xFF))
-#: Sample for the fit: bytes of text of each label, at most; longer texts than LONGEST are left out of it.
-SAMPLE_BYTES, LONGEST = 4_000_000, 200_000
+#: Sample for the fit: bytes of text and documents of each label, about; texts over LONGEST bytes are not in it.
+SAMPLE_BYTES, SAMPLE_DOCS, LONGEST = 4_000_000, 20_000, 200_000
 #: Lift of a telling feature; least gain of one, as a share of the toxic documents.
 LIFT, LEAST_GAIN = 20.0, 0.002
 ROUNDS, RATE, PENALTY, DAMPING = 25, 0.4, 0.02, 0.02
@@ -211,16 +211,20 @@ def is_held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
 def training_sample(texts: DataFrame, labels: DataFrame, sample_bytes: int, longest: int) -> tuple:
     """Texts, labels and weights of the fit. Documents labelled both ways are left out.
 
-    Rows are drawn by a hash of the doc_id, so that about `sample_bytes` of each label reach the driver."""
+    Ids and sizes meet the labels; about `sample_bytes` of text and SAMPLE_DOCS ids of each label are drawn by a
+    hash of the id. Only the drawn ids, bounded so, are sent to the texts."""
     marks = labels.groupBy("doc_id").agg(F.min("toxic").alias("low"), F.max("toxic").alias("toxic"))
     marks = marks.where("low = toxic and toxic in (0, 1)").drop("low")
-    size = F.octet_length("text")
-    known = texts.where(~is_held_out(F.col("doc_id"))).join(marks, "doc_id").where(size <= longest)
-    totals = {r["toxic"]: r for r in known.groupBy("toxic").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("n")).collect()}
-    shares = {k: min(1.0, sample_bytes / max(r["bytes"], 1)) for k, r in totals.items()}
+    able = texts.where(~is_held_out(F.col("doc_id"))).withColumn("size", F.octet_length("text"))
+    able = able.where(F.col("size") <= longest)
+    known = able.select("doc_id", "size").join(marks, "doc_id")
+    totals = known.groupBy("toxic").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+    shares = {r["toxic"]: min(1.0, sample_bytes / max(r["bytes"], 1), SAMPLE_DOCS / r["n"]) for r in totals}
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1 << 30)) / (1 << 30)
     limit = F.when(F.col("toxic") == 1, shares.get(1, 1.0)).otherwise(shares.get(0, 1.0))
-    rows = known.where(draw < limit).select("text", "toxic", "doc_id").toPandas().sort_values(["doc_id", "text"])
+    drawn = known.where(draw < limit).select("doc_id", "toxic").distinct()
+    rows = able.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic").toPandas()
+    rows = rows.sort_values(["doc_id", "text"])
     toxic = rows["toxic"].to_numpy(dtype=np.int64) == 1
     share = np.array([1 / shares[int(t)] for t in toxic])
     return [t.encode() for t in rows["text"]], toxic, share
@@ -245,8 +249,8 @@ def toxicity(
     empty; texts without letters get the score of no toxic token at all. Repeated rows are scored each; other
     columns play no part, whatever their names. A document labelled both ways, with another value than 0 and
     1, or null, is no training row; without training rows of both labels every score is the share of label 1
-    (none: 0). The fit reads at most about `sample_bytes` of text of each label, of texts up to `longest`
-    bytes; scores read every text whole. An empty `docs` gives no rows.
+    (none: 0). The fit reads at most about `sample_bytes` of text and SAMPLE_DOCS documents of each label, of texts up
+    to `longest` bytes; scores read every text whole. An empty `docs` gives no rows.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     texts = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"))
