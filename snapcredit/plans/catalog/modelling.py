@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapcredit.models.boosting import prefix_margins, tree_facts
 from snapcredit.models.registry import champion, load_champion, model_select, save_model
 from snapcredit.models.scoring import batch_score, narrow_scores, positive_probability
 from snapcredit.models.training import (
     CV_GBT_SPACE,
     GBT_SPACE,
     SearchResult,
+    assembler,
     cv_search,
     feature_columns,
     feature_scores,
@@ -88,24 +92,140 @@ def train_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_scores(found.model, data["training"])
 
 
-@query("random_search")
-def random_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 100) -> DataFrame:
-    """Trials from the declared space; metrics of the winner on all sets."""
+SPLITS = f"""WITH {LEDGER},
+    aged AS (SELECT *, date_diff('month', snapshot_date, max(snapshot_date) OVER ()) AS age,
+                    {BUCKET.format("loan_id::VARCHAR")} AS bucket FROM labels_gold),
+    splits AS (SELECT *, CASE WHEN age < 3 THEN 'oot_' || (3 - age) WHEN bucket < 70 THEN 'training'
+                              WHEN bucket < 85 THEN 'validation' ELSE 'test' END AS split FROM aged)"""
+
+N_TRIALS = 100
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
+    """What `make` gives, kept for the other queries of the session on the same tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = make()
+    return _stored[key]
+
+
+def _random(spark: SparkSession, sf_dir: str, n_trials: int) -> SearchResult:
     data = sets(spark, sf_dir)
     train, validation = data.pop("training"), data.pop("validation")
     grid = sample_space(GBT_SPACE, n_trials)
-    found = random_search(gbt(), grid, train, validation, _features(train), further=data)
+    return random_search(gbt(), grid, train, validation, _features(train), further=data)
+
+
+def _crossed(spark: SparkSession, sf_dir: str, n_trials: int) -> SearchResult:
+    train = sets(spark, sf_dir)["training"]
+    return cv_search(gbt(), sample_space(CV_GBT_SPACE, n_trials, distinct=True), train, _features(train))
+
+
+@query("random_search")
+def random_search_query(spark: SparkSession, sf_dir: str, n_trials: int = N_TRIALS) -> DataFrame:
+    """Trials from the declared space; metrics of the winner on all sets."""
+    found = _once(spark, sf_dir, f"random {n_trials}", lambda: _random(spark, sf_dir, n_trials))
     return spark.createDataFrame(sorted(found.metrics.items()), "metric string, value double")
 
 
 @query("cv_search")
-def cv_search_query(spark: SparkSession, sf_dir: str, n_trials: int = 100) -> DataFrame:
-    train = sets(spark, sf_dir)["training"]
-    found = cv_search(gbt(), sample_space(CV_GBT_SPACE, n_trials), train, _features(train))
+def cv_search_query(spark: SparkSession, sf_dir: str, n_trials: int = N_TRIALS) -> DataFrame:
+    found = _once(spark, sf_dir, f"crossed {n_trials}", lambda: _crossed(spark, sf_dir, n_trials))
     rows = [(i, t["cv_auc"]) for i, t in enumerate(found.trials)]
     return spark.createDataFrame(rows, "trial int, cv_auc double")
 
 
+def _search_facts(
+    spark: SparkSession, found: SearchResult, grid: list[dict], space: dict, metric: str, used: DataFrame
+) -> DataFrame:
+    """What must hold of any search, beside the rows and labels of the sets it used."""
+    inside = sum(all(point[name] in values for name, values in space.items()) for point in grid)
+    scores = [t[metric] for t in found.trials]
+    facts = {
+        "n_trials": len(grid),
+        "n_inside": inside,
+        "n_scored": sum(0 <= x <= 1 for x in scores),
+        "winner_is_best": found.metrics[metric] == max(scores) and found.params == grid[scores.index(max(scores))],
+    }
+    return used.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("label").alias("n_pos"),
+        *[F.lit(value).alias(name) for name, value in facts.items()],
+    )
+
+
+@query(
+    "random_search_trials",
+    f"""{SPLITS} SELECT split, count(*) AS n_rows, sum(label)::BIGINT AS n_pos, {N_TRIALS} AS n_trials,
+      {N_TRIALS} AS n_inside, {N_TRIALS} AS n_scored, true AS winner_is_best
+    FROM splits WHERE split IN ('training', 'validation') GROUP BY 1""",
+)
+def random_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sets and trials of the random search."""
+    found = _once(spark, sf_dir, f"random {N_TRIALS}", lambda: _random(spark, sf_dir, N_TRIALS))
+    data = sets(spark, sf_dir)
+    used = data["training"].unionByName(data["validation"])
+    return _search_facts(spark, found, sample_space(GBT_SPACE, N_TRIALS), GBT_SPACE, "val_auc", used)
+
+
+@query(
+    "cv_search_trials",
+    f"""{SPLITS} SELECT split, count(*) AS n_rows, sum(label)::BIGINT AS n_pos, {N_TRIALS} AS n_trials,
+      {N_TRIALS} AS n_inside, {N_TRIALS} AS n_scored, true AS winner_is_best, {N_TRIALS} AS n_distinct
+    FROM splits WHERE split = 'training' GROUP BY 1""",
+)
+def cv_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The set and the trials of the cross-validated search, all different."""
+    found = _once(spark, sf_dir, f"crossed {N_TRIALS}", lambda: _crossed(spark, sf_dir, N_TRIALS))
+    grid = sample_space(CV_GBT_SPACE, N_TRIALS, distinct=True)
+    facts = _search_facts(spark, found, grid, CV_GBT_SPACE, "cv_auc", sets(spark, sf_dir)["training"])
+    return facts.withColumn("n_distinct", F.lit(len({tuple(sorted(p.items())) for p in grid})))
+
+
+@query(
+    "boosting_prefixes",
+    f"""{SPLITS}, lengths AS (SELECT unnest([1, 4, 10]) AS n_trees)
+    SELECT n_trees, count(*) AS n_rows, 0::BIGINT AS n_differ FROM splits, lengths WHERE split = 'validation' GROUP BY 1""",
+)
+def boosting_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose margin from the first trees of one ensemble is not that of an ensemble fitted so long."""
+    data = sets(spark, sf_dir)
+    assemble = assembler(_features(data["training"]))
+    train, rows = (assemble.transform(data[n]).select("features", "label", "loan_id") for n in ("training", "validation"))
+    train = train.withColumn("label", F.col("label").cast("double"))
+    whole = gbt(maxIter=10, maxDepth=4).fit(train)
+    margins = prefix_margins(whole, tree_facts(whole), rows, [1, 4, 10])
+    for n in (1, 4, 10):
+        alone = gbt(maxIter=n, maxDepth=4).fit(train).setRawPredictionCol("raw").transform(margins)
+        off = F.abs(vector_to_array("raw")[1] - F.col(f"margin_{n}")) > 1e-9
+        margins = alone.withColumn(f"off_{n}", off).drop("raw", "probability", "prediction")
+    counted = margins.agg(*[F.count_if(f"off_{n}").alias(str(n)) for n in (1, 4, 10)], F.count("*").alias("n_rows"))
+    return counted.unpivot("n_rows", ["1", "4", "10"], "n_trees", "n_differ").withColumn(
+        "n_trees", F.col("n_trees").cast("int")
+    )
+
+
+@query(
+    "gbt_importances",
+    f"""{SPLITS} SELECT 5::BIGINT AS n_features, 5::BIGINT AS n_named, true AS sum_is_one, true AS constant_is_zero,
+      count(*) AS n_rows FROM splits WHERE split = 'training'""",
+)
+def gbt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances of a fitted model by name: they sum to 1, name each input once, and a constant has none."""
+    data = sets(spark, sf_dir)
+    train, validation = (data[n].withColumn("constant", F.lit(1.0)) for n in ("training", "validation"))
+    columns = _features(train)
+    found = random_search(gbt(maxIter=5), [{}], train, validation, columns)
+    scores = feature_scores(found.model, train)
+    known = F.count_distinct(F.when(F.col("feature").isin(columns), F.col("feature")))
+    return scores.agg(
+        F.count(F.lit(1)).alias("n_features"),
+        known.alias("n_named"),
+        (F.abs(F.sum("score") - 1) < 1e-9).alias("sum_is_one"),
+        (F.max(F.when(F.col("feature") == "constant", F.col("score"))) == 0).alias("constant_is_zero"),
+    ).crossJoin(train.agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 @query("model_save_load")
 def model_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AUC of a model on its test set before and after a round trip through the registry."""
@@ -129,23 +249,47 @@ def batch_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrow_scores(scored, "gbt_1", ["loan_id", "Customer_ID", "snapshot_date"])
 
 
+def _scorecard_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """The sets of the fourteen months before a date, and the columns of their features."""
+
+    def write() -> tuple[str, list[str]]:
+        labels = create_label(delinquency(ledger(spark, sf_dir)))
+        features = supplier_months(spark, sf_dir)
+        path = scratch_path(spark, "scorecard_sets")
+        scorecard.window_sets(labels, features, "2001-01-01", path, ["loan_id", "snapshot_date"])
+        return path, columns_like(features, suffix="_avg")
+
+    path, columns = _once(spark, sf_dir, "scorecard sets", write)
+    return spark.read.parquet(path), columns
+
+
 @query("scorecard")
-def scorecard_query(spark: SparkSession, sf_dir: str, n_trials: int = 100) -> DataFrame:
+def scorecard_query(spark: SparkSession, sf_dir: str, n_trials: int = N_TRIALS) -> DataFrame:
     """Card of a cross-validated search on the fourteen months before a date."""
-    labels = create_label(delinquency(ledger(spark, sf_dir)))
-    features = supplier_months(spark, sf_dir)
-    path = scratch_path(spark, "scorecard_sets")
-    stored = scorecard.window_sets(labels, features, "2001-01-01", path, ["loan_id", "snapshot_date"])
-    columns = columns_like(features, suffix="_avg")
+    stored, columns = _scorecard_sets(spark, sf_dir)
     found = scorecard.train_scorecard(stored, columns, n_trials=n_trials)
     return scorecard.model_card(found.model, stored, "credit_model_2001_01_01")
 
 
-SPLITS = f"""WITH {LEDGER},
-    aged AS (SELECT *, date_diff('month', snapshot_date, max(snapshot_date) OVER ()) AS age,
-                    {BUCKET.format("loan_id::VARCHAR")} AS bucket FROM labels_gold),
-    splits AS (SELECT *, CASE WHEN age < 3 THEN 'oot_' || (3 - age) WHEN bucket < 70 THEN 'training'
-                              WHEN bucket < 85 THEN 'validation' ELSE 'test' END AS split FROM aged)"""
+@query(
+    "scorecard_sets",
+    f"""WITH {LEDGER},
+    windowed AS (
+      SELECT *, CASE WHEN snapshot_date >= DATE '2000-11-01' THEN 'oot' ELSE 'train_test' END AS side FROM labels_gold
+      WHERE snapshot_date >= DATE '1999-11-01' AND snapshot_date < DATE '2001-01-01'),
+    classes AS (
+      SELECT side, label, count(*) AS n, CASE WHEN side = 'oot' THEN 0 ELSE ceil(round(count(*) * 0.2, 6))::BIGINT END AS test
+      FROM windowed GROUP BY 1, 2),
+    parts AS (
+      SELECT 'oot' AS split, label, n FROM classes WHERE side = 'oot'
+      UNION ALL SELECT 'test', label, test FROM classes WHERE side = 'train_test'
+      UNION ALL SELECT 'train', label, n - test FROM classes WHERE side = 'train_test')
+    SELECT split, sum(n)::BIGINT AS n_rows, sum(n * label)::BIGINT AS n_pos FROM parts GROUP BY 1""",
+)
+def scorecard_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and positives of the sets of the score card."""
+    stored, _ = _scorecard_sets(spark, sf_dir)
+    return stored.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").alias("n_pos"))
 
 
 @query(

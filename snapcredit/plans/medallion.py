@@ -197,7 +197,7 @@ def train_models(
     registry_path: str,
     n_trials: int = 100,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> str:
     """Search both model types, store the best of each, promote the champion; returns its path."""
     sets = load_datasets(spark, training_path)

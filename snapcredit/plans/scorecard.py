@@ -49,13 +49,13 @@ def train_scorecard(
     n_trials: int = 100,
     seed: int = 42,
     space: Mapping[str, Sequence[Any]] = CV_GBT_SPACE,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> SearchResult:
     """Scale by the training set, search with cross-validation on it; the scaler stays with the model."""
     train = sets.where(F.col("split") == "train")
     scaler = fit_scaler(train, columns)
     scaled = [f"{c}_scaled" for c in columns]
-    grid = sample_space(space, n_trials, seed)
+    grid = sample_space(space, n_trials, seed, distinct=True)
     return cv_search(
         gbt(seed=88), grid, train, scaled, seed=seed, parallelism=parallelism, prepare=[scaler.stage()]
     )
