@@ -1,8 +1,10 @@
 """Which segments of a corpus may hold a repeated window: the pre-filter of both repeat finders.
 
-Pass 1 sends each partition's sketch, the count of every anchor cell, to one merged count sketch of
-fixed width. Pass 2 keeps the segments whose cell was met twice or more. A sketch only overestimates,
-so no repeated window is lost; a full sketch keeps more segments, never fewer.
+Pass 1 sends each partition's sketch, a count of the cells of its segments' strings, to a merged count-min
+sketch. Its 2 ** 48 cells are held sparsely, as a table of those met, so it does not fill up as the corpus
+grows; a cell still only overestimates. Cells met twice or more become a bitmap of a size that follows
+their number (`bitmaps`). Pass 2 keeps the segments whose cell is in it and writes them once. No repeated
+window is lost; a full bitmap keeps more segments, never fewer.
 """
 
 from __future__ import annotations
@@ -14,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapcredit.llm.bitmaps import MOST_BITS, bitmap_of
 from snapcredit.llm.common import map_arrow, stored, text_chunks
-from snapcredit.llm.rolling import BYTE_CODES, PrefixHash, segments, word_codes
+from snapcredit.llm.rolling import BYTE_CODES, PrefixHash, halves, word_codes
 
-#: Cells of the merged sketch: 2 ** 28, one bit each when broadcast, so 32 MB at any size of corpus.
-SKETCH_BITS = 28
-#: Cells of one bitmap of Spark's bitmap functions.
-BITMAP = 32_768
+#: Bits of a cell of the sketch, and of the largest bitmap that is broadcast.
+CELL_BITS = 48
+SKETCH_BITS = MOST_BITS
 
 
 def chunk_codes(raw: np.ndarray, lengths: np.ndarray, unit: str):
@@ -36,70 +38,50 @@ def chunk_codes(raw: np.ndarray, lengths: np.ndarray, unit: str):
 
 
 def segment_rows(batches, unit: str, window: int, gram: int) -> Iterator[tuple]:
-    """For each chunk: its rows, codes, first symbols, and first window, length, anchor and text of its segments."""
+    """For each chunk: its rows, first symbols, hashes of stretches, and its segments: first window, number of
+    windows, start of the common string, text, and hash of the common string."""
     for batch, raw, lengths in text_chunks(batches):
         codes, starts, counts = chunk_codes(raw, lengths, unit)
-        yield batch, codes, starts, segments(codes, starts, counts, window, gram)
+        first, n, at, owner, size = halves(codes, starts, counts, window, gram)
+        if len(first):
+            hashes = PrefixHash(codes)
+            yield batch, starts, hashes, (first, n, at, owner, hashes.of(at, np.full(len(at), size)))
 
 
-def cells_of(anchor: np.ndarray, bits: int) -> np.ndarray:
-    return (anchor >> np.uint64(64 - bits)).astype(np.int64)
+def cells_of(anchor: np.ndarray) -> np.ndarray:
+    return (anchor >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def repeated_cells(cells: DataFrame, bits: int) -> bytes:
-    """Merge of partition sketches (cell, n): one bit per cell, set if it was met at least twice.
-
-    At most 2 ** bits bits reach the driver."""
-    twice = cells.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1")
-    # Spark's bitmap functions number positive values from 1.
-    bit = F.col("cell") + 1
-    maps = twice.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
-    )
-    merged = bytearray((1 << bits) // 8 + BITMAP // 8)
-    for row in maps.collect():
-        merged[(row["bucket"] - 1) * BITMAP // 8 : row["bucket"] * BITMAP // 8] = row["bits"]
-    return bytes(merged)
-
-
-def partition_sketch(hashes: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Cells of some hashes and how often each was met."""
-    cell, n = np.unique(cells_of(hashes, bits), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
-
-
-def in_sketch(sketch: bytes, hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Whether the cell of each hash was met at least twice."""
-    cell = cells_of(hashes, bits)
-    return (np.frombuffer(sketch, np.uint8)[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
-
-
-SKETCH_SCHEMA = "cell long, n long"
+def repeated_cells(cells: DataFrame) -> DataFrame:
+    """Merge of partition sketches (cell, n): the cells met at least twice."""
+    return cells.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").select("cell")
 
 
 def repeated_segments(
     texts: DataFrame, unit: str, window: int, gram: int, bits: int = SKETCH_BITS
 ) -> DataFrame:
-    """Segments that may hold a repeated window.
+    """Segments that may hold a repeated window, as a stored table.
 
-    texts: of `keyed_texts`. Returns doc_id, text_hash, anchor and content (hashes of the anchor and of
-    the whole segment), start (symbol) and n (windows).
+    texts: of `keyed_texts`. Returns doc_id, text_hash, anchor and content (hashes of the common string and of
+    the whole segment), start (symbol), n (windows) and at (start of the common string in the segment).
     """
 
     def count(batches):
-        for _, _, _, (_, _, anchor, _) in segment_rows(batches, unit, window, gram):
-            yield partition_sketch(anchor, bits)
+        for *_, (_, _, _, _, anchor) in segment_rows(batches, unit, window, gram):
+            cell, n = np.unique(cells_of(anchor), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n.astype(np.int32))], ["cell", "n"])
 
-    counts = map_arrow(texts.select("text"), count, SKETCH_SCHEMA)
-    sketch = texts.sparkSession.sparkContext.broadcast(repeated_cells(counts, bits))
+    counts = map_arrow(texts.select("text"), count, "cell long, n int")
+    twice = stored(repeated_cells(counts), "cells")
+    sketch = texts.sparkSession.sparkContext.broadcast(bitmap_of(twice, "cell", CELL_BITS, bits))
 
     def look_up(batches):
-        for batch, codes, starts, (first, n, anchor, owner) in segment_rows(batches, unit, window, gram):
-            keep = in_sketch(sketch.value, anchor, bits)
+        for batch, starts, hashes, found in segment_rows(batches, unit, window, gram):
+            keep = sketch.value.holds(cells_of(found[-1]))
             if not keep.any():
                 continue
-            first, n, anchor, owner = first[keep], n[keep], anchor[keep], owner[keep]
-            content = PrefixHash(codes).of(first, n + window - 1)
+            first, n, at, owner, anchor = (x[keep] for x in found)
+            content = hashes.of(first, n + window - 1)
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -109,13 +91,14 @@ def repeated_segments(
                     pa.array(content.view(np.int64)),
                     pa.array((first - starts[owner]).astype(np.int32)),
                     pa.array(n.astype(np.int32)),
+                    pa.array((at - first).astype(np.int32)),
                 ],
-                ["doc_id", "text_hash", "anchor", "content", "start", "n"],
+                ["doc_id", "text_hash", "anchor", "content", "start", "n", "at"],
             )
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, text_hash int, anchor long, content long, start int, n int"
-    return map_arrow(texts, look_up, schema)
+    schema = f"doc_id {id_type}, text_hash int, anchor long, content long, start int, n int, at int"
+    return stored(map_arrow(texts, look_up, schema), "found")
 
 
 def with_copies(found: DataFrame, wanted: str) -> DataFrame:

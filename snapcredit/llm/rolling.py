@@ -82,9 +82,15 @@ def segments(
     Returns the first window of each segment (an index into `codes`), its number of windows, the hash of
     its anchor and the index of its sequence. Sequences shorter than a window have none.
     """
+    first, n, place, grams, owner = _anchored(codes, starts, lengths, window, gram)
+    return first, n, grams[place], owner
+
+
+def _anchored(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, window: int, gram: int):
+    """First window and number of windows of each segment, the place of its anchor, all hashes of anchors, its sequence."""
     none = np.empty(0, np.int64)
     if len(codes) < window:
-        return none, none, np.empty(0, U64), none
+        return none, none, none, np.empty(0, U64), none
     grams = window_hashes(codes, gram)
     anchor = leftmost_minimum(grams, window - gram + 1)
     owner = np.repeat(np.arange(len(starts)), lengths)
@@ -96,7 +102,31 @@ def segments(
     ends = np.flatnonzero(fresh | ~inside)
     following = np.searchsorted(ends, first, "right")
     stop = np.append(ends, len(anchor))[following]
-    return first, stop - first, grams[anchor[first]], owner[first]
+    return first, stop - first, anchor[first], grams, owner[first]
+
+
+def halves(
+    codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, window: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Segments in two parts, each with a longer string that all its windows hold.
+
+    A window reaches at least half of `window - gram` symbols, rounded up, beyond its anchor on one side.
+    Windows that do so to the left hold the anchor with that many symbols before it, the others with as
+    many after it. Equal windows fall on the same side, so a repeated window has a repeated string of
+    that length, which by chance repeats far more seldom than the anchor.
+
+    Returns the first window and number of windows of each part, the start of its string, its sequence,
+    and the length of the strings.
+    """
+    first, n, place, _, owner = _anchored(codes, starts, lengths, window, gram)
+    reach = (window - gram + 1) // 2
+    stop, middle = first + n, place - reach + 1  # windows from `middle` on reach to the right
+    left = np.clip(middle, first, stop)
+    parts = [(first, left - first, place - reach), (left, stop - left, place)]
+    begin, count, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    some = np.flatnonzero(count > 0)
+    some = some[np.argsort(begin[some], kind="stable")]
+    return begin[some], count[some], at[some], np.concatenate([owner, owner])[some], gram + reach
 
 
 _TABLES: dict[int, np.ndarray] = {}

@@ -109,9 +109,9 @@ def drop_repeated_windows(
     doc_id is smaller than any. Windows are judged on the input. Rows that share doc_id and start tie,
     so an exactly repeated row loses nothing to its copy.
 
-    Every window is counted under its anchor in one merged count-min sketch, which overestimates; of the
-    segments it leaves, equal ones are grouped whole, so a hot passage is aggregated before any of its
-    windows is shuffled. The windows of segments that only share their anchor are grouped exactly, by
+    Every window is counted, under a string of 13 words that it holds, in a merged count-min sketch, which
+    overestimates; of the segments it leaves, equal ones are grouped whole, so a hot passage is aggregated before any of its
+    windows is shuffled. The windows of segments that only share their string are grouped exactly, by
     96-bit hashes of their words.
 
     Returns doc_id, n_words, n_removed and kept_text (words joined by one space) for each row; null

@@ -26,8 +26,8 @@ ANCHOR = 64
 LEAD = 16
 #: Contents of one anchor that a bucket sorts; the suffixes of a larger group are dealt out one by one.
 GROUP = 1_000
-#: Bytes of segments that a bucket sorts at once.
-SORT_BYTES = 1 << 20
+#: Bytes of segments in a bucket, about, and of those that it sorts at once.
+BUCKET_BYTES, SORT_BYTES = 1 << 23, 1 << 20
 
 
 def equal_suffixes(data: np.ndarray, suffix: np.ndarray, length: int) -> np.ndarray:
@@ -69,8 +69,8 @@ def equal_suffixes(data: np.ndarray, suffix: np.ndarray, length: int) -> np.ndar
     return repeated
 
 
-def _cut(length: int, anchor: int, doc_type: str):
-    """The bytes of listed segments, with the leading bytes of the suffix at their anchor."""
+def _cut(length: int, doc_type: str):
+    """The bytes of listed segments, with the leading bytes of the suffix at their common string."""
 
     def cut(batches):
         for batch, raw, lengths in text_chunks(unpacked(batches)):
@@ -78,17 +78,11 @@ def _cut(length: int, anchor: int, doc_type: str):
             lists = batch.column("rows")
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
             flat = lists.flatten()
-            start, n = (flat.field(c).to_numpy().astype(np.int64) for c in ("start", "n"))
+            start, n, ahead = (flat.field(c).to_numpy().astype(np.int64) for c in ("start", "n", "at"))
             begin = base[owner] + start
             data = raw.tobytes()
             pieces = [data[b : b + c + length - 1] for b, c in zip(begin, n, strict=True)]
-            # All windows of a segment hold its anchor; the one string hashes as `anchor` says.
-            grams = window_hashes(BYTE_CODES[raw], anchor).view(np.int64)
-            wanted = flat.field("anchor").to_numpy()
-            leads = []
-            for b, c, a in zip(begin, n, wanted, strict=True):
-                at = b + c - 1 + int(np.argmax(grams[b + c - 1 : b + length - anchor + 1] == a))
-                leads.append(data[at : at + LEAD])
+            leads = [data[at : at + LEAD] for at in begin + ahead]
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -241,11 +235,11 @@ def drop_repeated_strings(
     Strings are read from the UTF-8 bytes of one text, overlapping and in the same document included,
     and judged on the input. Null texts are empty. An exactly repeated row is a copy like any other.
 
-    The suffixes that can repeat are those of segments whose anchor string was met twice (`repeats`).
+    The suffixes that can repeat are those of segments whose common string was met twice (`repeats`).
     Equal segments repeat whole and are grouped. Suffixes of the other segments are range-partitioned by
-    the leading bytes of the suffix at their anchor, with Spark's sampled splitters, and sorted in the
-    bucket by multikey quicksort; equal suffixes have equal anchors, and equal range keys never fall on
-    both sides of a splitter, so each is next to its equals in one bucket. An anchor with more than
+    the leading bytes of the suffix at that string, with Spark's sampled splitters, and sorted in the
+    bucket by multikey quicksort; equal suffixes have equal strings, and equal range keys never fall on
+    both sides of a splitter, so each is next to its equals in one bucket. A string with more than
     `group` different segments has its suffixes dealt out singly, by a pair of hashes, and counted with
     partial aggregation, so no bucket grows with a hot passage.
 
@@ -260,10 +254,12 @@ def drop_repeated_strings(
     small = packed(docs.select(*keep, *keyed_columns(doc_id, text)))
     whole = found.where("copies > 1")
 
-    cut, schema = _cut(length, anchor, id_type)
-    lists = by_document(found.where("first and rivals > 1"), "start", "n", "anchor", "copies", "rivals")
+    cut, schema = _cut(length, id_type)
+    compared = found.where("first and rivals > 1")
+    lists = by_document(compared, "start", "n", "at", "anchor", "copies", "rivals")
     pieces = stored(map_arrow(with_rows(small, lists, "inner"), cut, schema), "suffixes")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sized = compared.agg(F.sum(F.col("n") + length - 1)).first()[0] or 0
+    parts = -(-sized // BUCKET_BYTES) or 1
     sort, schema = _sort_bucket(length, id_type)
     buckets = pieces.where(F.col("rivals") <= group).repartitionByRange(parts, "lead", "anchor")
     bucketed = map_arrow(buckets.sortWithinPartitions("lead", "anchor"), sort, schema)
