@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snapcredit.functions.dates import snapshot_of
 from snapcredit.plans.catalog.base import ORDERS_BY_MONTH, exact_sum, orders_by_month, query, table
 from snapcredit.session import scratch_path
+from snapcredit.sources.changes import backfill_changed
 from snapcredit.sources.scans import load_all, load_snapshot, read_csv
 from snapcredit.sources.sinks import merge_metrics_log, read_metrics_log, write_snapshots
 from snapcredit.sources.snapshots import backfill, missing_snapshots, month_spine, month_spine_of
@@ -104,6 +105,35 @@ def backfill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_all(spark, path, "parquet")
 
 
+@query(
+    "backfill_changed",
+    f"""WITH {ORDERS_BY_MONTH},
+    reloaded AS (
+      SELECT *, o_totalprice * CASE WHEN snapshot_date = DATE '1997-05-01' THEN 2 ELSE 1 END AS price,
+             CASE WHEN snapshot_date = DATE '1997-05-01' THEN true
+                  WHEN snapshot_date >= DATE '2000-01-01' THEN true ELSE false END AS rebuilt
+      FROM orders_by_month
+      WHERE snapshot_date <> DATE '1996-02-01'
+        AND NOT (snapshot_date = DATE '1998-07-01' AND o_orderkey % 2 = 0))
+    SELECT snapshot_date, count(*) AS n_orders, sum(price::DECIMAL(18,2))::DOUBLE AS total,
+           bool_or(rebuilt OR snapshot_date = DATE '1998-07-01') AS rebuilt
+    FROM reloaded GROUP BY 1""",
+)
+def backfill_changed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink of the months before 2000; then one month is loaded again with other prices, one loses half its
+    rows, one all of them, and the later months arrive."""
+    source, path = scratch_path(spark, "orders"), scratch_path(spark, "totals")
+    orders = orders_by_month(spark, sf_dir)
+    month = F.col("snapshot_date")
+    write_snapshots(orders.where(month < "2000-01-01"), source)
+    backfill_changed(load_all(spark, source, "parquet"), _totals, path, "1995-01-01", "2001-12-01")
+    doubled = F.when(month == "1997-05-01", 2 * F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
+    halved = orders.where(~((month == "1998-07-01") & (F.col("o_orderkey") % 2 == 0)))
+    write_snapshots(halved.where(month != "1996-02-01").withColumn("o_totalprice", doubled), source, whole_table=True)
+    rebuilt = backfill_changed(load_all(spark, source, "parquet"), _totals, path, "1995-01-01", "2001-12-01")
+    return load_all(spark, path, "parquet").withColumn("rebuilt", month.isin(rebuilt))
+
+
 @query(
     "union_by_name",
     f"""WITH {ORDERS_BY_MONTH}

@@ -45,9 +45,10 @@ from snapcredit.operators.quality import (
 )
 from snapcredit.operators.splits import require_history, training_sets
 from snapcredit.plans import credit_tables as tables
+from snapcredit.sources.changes import backfill_changed
 from snapcredit.sources.scans import load_datasets, read_csv
 from snapcredit.sources.sinks import merge_metrics_log, read_metrics_log, write_snapshots
-from snapcredit.sources.snapshots import backfill, month_spine, require_snapshots
+from snapcredit.sources.snapshots import month_spine, require_snapshots
 
 TABLES = {
     "clickstream_data": tables.CLICKSTREAM,
@@ -136,14 +137,14 @@ def refresh(
     end: str | dt.date,
     counts_path: str | None = None,
 ) -> dict[str, list[dt.date]]:
-    """Build the silver snapshots that are missing in the range; returns their dates per table.
+    """Build the silver snapshots of the range that are missing or whose bronze has changed; returns their dates per table.
 
     With ``counts_path`` the rows of each built snapshot before and after cleaning are logged there.
     """
     built = {}
     for name, path in bronze.items():
         source = read_csv(spark, path, infer=False)
-        dates = backfill(source, lambda df, name=name: silver(df, name), silver_paths[name], start, end)
+        dates = backfill_changed(source, lambda df, name=name: silver(df, name), silver_paths[name], start, end)
         built[name] = dates
         if counts_path and dates:
             layers = (
