@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from snapcredit.functions.text import column_suffix
 from snapcredit.operators.features import asof_feature_tables
 from snapcredit.plans import credit_tables as tables
-from snapcredit.plans import medallion
+from snapcredit.plans import feature_state, medallion
 from snapcredit.plans.catalog.base import ORACLES, QUERIES, query
 from snapcredit.plans.catalog.silver_tables import FINANCIALS, MONEY, doubles
+from snapcredit.session import scratch_path
+from snapcredit.sources.sinks import write_snapshots
+from snapcredit.sources.snapshots import present_snapshots
 
 SILVER = {
     "attributes": "silver_attributes",
@@ -66,6 +69,26 @@ def feature_store_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.gold_features(*silver_tables(spark, sf_dir))
 
 
+@query("feature_store_incremental", ORACLES["feature_store_full"])
+def feature_store_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same store, folded: the months up to the last two, each of these alone, then an old month once more."""
+    held = [stored_snapshots(spark, df, name) for df, name in zip(silver_tables(spark, sf_dir), SILVER, strict=True)]
+    root = scratch_path(spark, "feature_state")
+    months = sorted(r[0] for df in held for r in present_snapshots(df).collect())
+    months = sorted(set(months))
+    spans = [(months[0], months[-3]), (months[-2], months[-2]), (months[-1], months[-1]), (months[5], months[5])]
+    for first, last in spans:
+        feature_state.fold(spark, root, first, last, *held)
+    return feature_state.read_features(spark, root)
+
+
+def stored_snapshots(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A frame as a table partitioned by snapshot, as silver tables are."""
+    path = scratch_path(spark, name)
+    write_snapshots(df, path)
+    return spark.read.parquet(path)
+
+
 @query(
     "feature_store_asof",
     f"""WITH {TABLES},
