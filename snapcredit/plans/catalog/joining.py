@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snapcredit.functions.dates import snapshot_of
 from snapcredit.operators.aggregates import columns_like, corr_matrix, label_ratio, multi_avg
 from snapcredit.operators.credit import create_label, delinquency, vintage_bad_rate
+from snapcredit.operators.history import asof_intervals, merge_intervals, validity_intervals
 from snapcredit.operators.joins import asof_latest, delayed_label_join, label_join, range_join_avg
 from snapcredit.operators.quality import quality_counters
 from snapcredit.plans.catalog.base import (
@@ -20,6 +21,7 @@ from snapcredit.plans.catalog.base import (
     rounded,
     table,
 )
+from snapcredit.session import scratch_path
 
 LEDGER_COLUMNS = (
     "loan_id, Customer_ID, snapshot_date, installment_num, due_amt, overdue_amt, mob, "
@@ -236,6 +238,40 @@ def asof_latest_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _asof_events(spark, sf_dir, "month")
 
 
+@query("asof_intervals", ASOF_EVENTS)
+def asof_intervals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from intervals: orders before 1998 first, the later ones merged in."""
+    events = past_events(spark, sf_dir).select("event_id", "o_custkey", "ts")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("matched_day")
+    )
+    early = F.col("o_orderdate") < "1998-01-01"
+    history = validity_intervals(orders.where(early), "o_custkey", "o_orderdate", tie_break=["o_orderkey"])
+    path = scratch_path(spark, "order_history")
+    merge_intervals(history, orders.where(~early), "o_custkey", "o_orderdate", ["o_orderkey"]).write.parquet(path)
+    matched = asof_intervals(events, spark.read.parquet(path), "o_custkey", "ts")
+    return matched.select("event_id", "o_orderkey", "o_totalprice", "matched_day")
+
+
+@query(
+    "validity_intervals",
+    """WITH days AS (
+      SELECT o_custkey, o_orderdate::DATE AS day, o_orderpriority AS priority FROM orders
+      QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate::DATE ORDER BY o_orderpriority DESC) = 1),
+    changes AS (
+      SELECT * FROM days WINDOW w AS (PARTITION BY o_custkey ORDER BY day)
+      QUALIFY coalesce(lag(priority) OVER w <> priority, true))
+    SELECT o_custkey, day AS valid_from, lead(day) OVER (PARTITION BY o_custkey ORDER BY day) AS valid_to, priority
+    FROM changes""",
+)
+def validity_intervals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When the priority of a customer's orders changed."""
+    days = table(spark, sf_dir, "orders").select(
+        "o_custkey", F.to_date("o_orderdate").alias("day"), F.col("o_orderpriority").alias("priority")
+    )
+    return validity_intervals(days, "o_custkey", "day")
+
+
 @query(
     "asof_date_vs_timestamp",
     """WITH past AS (

@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,26 +49,36 @@ def _newest(starts: DataFrame) -> DataFrame:
     return starts.groupBy(CUSTOMER).agg(F.max("loan_start_date").alias("loan_start_date"))
 
 
-def _folded(spark: SparkSession, root: str) -> list[dt.date]:
-    """Months with a state, in order; read off the paths."""
+def _table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A table of the store; None if nothing was ever written to it."""
     try:
-        table = spark.read.parquet(_path(root, "newest"))
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+        return spark.read.parquet(_path(root, name))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return []
-    return sorted(r[0] for r in present_snapshots(table, "as_of").collect())
+        return None
+
+
+def _folded(spark: SparkSession, root: str) -> list[dt.date]:
+    """Months with a state, in order; read off the paths."""
+    table = _table(spark, root, "newest")
+    return sorted(r[0] for r in present_snapshots(table, "as_of").collect()) if table is not None else []
 
 
 def _fold_newest(spark: SparkSession, root: str, month: dt.date, before: dt.date | None) -> None:
     """The state of a month: that of the one folded before it, and the starts since."""
-    since = F.lit(True) if before is None else F.col(SNAPSHOT) > F.lit(before)
-    starts = spark.read.parquet(_path(root, "starts"))
-    fresh = starts.where(since & (F.col(SNAPSHOT) <= F.lit(month))).select(CUSTOMER, "loan_start_date")
+    # A row without a customer marks the month, should no customer have a start yet.
+    parts = [spark.createDataFrame([(None, None)], f"{CUSTOMER} string, loan_start_date date")]
+    starts = _table(spark, root, "starts")
+    if starts is not None:
+        since = F.lit(True) if before is None else F.col(SNAPSHOT) > F.lit(before)
+        parts.append(starts.where(since & (F.col(SNAPSHOT) <= F.lit(month))).select(CUSTOMER, "loan_start_date"))
     if before is not None:
         last = spark.read.parquet(_path(root, "newest")).where(F.col("as_of") == F.lit(before))
-        fresh = last.select(CUSTOMER, "loan_start_date").unionByName(fresh)
-    write_snapshots(_newest(fresh).withColumn("as_of", F.lit(month)), _path(root, "newest"), partition="as_of")
+        parts.append(last.select(CUSTOMER, "loan_start_date"))
+    kind = parts[-1].schema[CUSTOMER].dataType
+    merged = reduce(DataFrame.unionByName, [p.withColumn(CUSTOMER, F.col(CUSTOMER).cast(kind)) for p in parts])
+    write_snapshots(_newest(merged).withColumn("as_of", F.lit(month)), _path(root, "newest"), partition="as_of")
 
 
 def fold(
@@ -112,8 +124,10 @@ def read_features(
     known = F.col(SNAPSHOT) <= F.lit(states[-1])
     base = spark.read.parquet(_path(root, "base")).where(known)
     newest = spark.read.parquet(_path(root, "newest")).where(F.col("as_of") == F.lit(states[-1])).drop("as_of")
-    counted = spark.read.parquet(_path(root, "sums")).where(known).join(newest, CUSTOMER)
-    counted = counted.where(F.col(SNAPSHOT) <= F.col("loan_start_date"))
+    sums = _table(spark, root, "sums")
+    if sums is None:
+        return base.withColumns({f"{m}_avg": F.lit(0.0) for m in measures})
+    counted = sums.where(known).join(newest, CUSTOMER).where(F.col(SNAPSHOT) <= F.col("loan_start_date"))
     averages = counted.select(
         *KEYS, *[F.try_divide(F.col(f"sum_{m}").cast("double"), F.col(f"n_{m}")).alias(f"{m}_avg") for m in measures]
     )
