@@ -24,6 +24,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores behind it until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def as_struct(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """Columns as one struct, so that their names meet no other ones until `.*` takes them out again."""
+    return F.struct(*[F.col(f"`{c}`") for c in (df.columns if columns is None else columns)])
+
+
 def keyed_columns(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """The columns of `keyed_texts`."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import map_arrow
+from snapcredit.llm.common import free_name, map_arrow
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -298,11 +298,12 @@ def extract_main_text(pages: DataFrame, page: str = "html", text: str = "text")
 
     def extract(batches):
         for batch in batches:
-            source = batch.column("_page").to_pylist()
+            source = batch.column(held).to_pylist()
             texts = pa.array([main_text(p) if p else "" for p in source], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], [*batch.schema.names[:-1], text])
 
     kept = [c for c in pages.columns if c.lower() not in (text.lower(), page.lower())]
-    rows = pages.select(*kept, F.col(page).cast("string").alias("_page"))
+    held = free_name(pages, "_page")
+    rows = pages.select(*kept, F.col(page).cast("string").alias(held))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.select(*kept).schema)
     return map_arrow(rows, extract, f"{schema}`{text}` string")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import let
+from snapcredit.llm.common import free_name, let
 
 #: Common function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -146,8 +146,9 @@ def quality_rules(
     """
     added = [*STATISTICS, "failed", "base_failed", "kept"]
     own = [c for c in docs.columns if c.lower() not in added]
-    found = docs.select(*own, judged(F.col(text), rules, stop_words).alias("_judged"))
-    return found.select(*own, *(F.col(f"_judged.{name}").alias(name) for name in added))
+    held = free_name(docs, "_judged")
+    found = docs.select(*own, judged(F.col(text), rules, stop_words).alias(held))
+    return found.select(*own, *(F.col(f"{held}.{name}").alias(name) for name in added))
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import checkpointed, keyed_texts, map_arrow, text_chunks
+from snapcredit.llm.common import as_struct, checkpointed, keyed_texts, map_arrow, text_chunks
 from snapcredit.llm.components import connected_components
 
 SHINGLE = 4
@@ -269,7 +269,9 @@ def keep_one(docs: DataFrame, find: Callable[..., DataFrame] = near_duplicates,
     chosen = winners.select("winner.doc_id", "winner.text_hash").join(
         rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     ).select("_id", "_hash", "_rows")
-    hashed = F.hash(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"]) & (hashed == chosen["_hash"]))
-    once = kept.where("_rows = 1").select(docs.columns)
-    return once.unionByName(kept.where("_rows > 1").dropDuplicates(["_id", "_hash"]).select(docs.columns))
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    held = docs.select(F.col("doc_id").alias("id"), F.hash(body).alias("hash"), as_struct(docs).alias("row"))
+    match = held["id"].eqNullSafe(chosen["_id"]) & (held["hash"] == chosen["_hash"])
+    kept = held.join(chosen, match).select("id", "hash", "row", "_rows")
+    once = kept.where("_rows = 1").select("row.*")
+    return once.unionByName(kept.where("_rows > 1").dropDuplicates(["id", "hash"]).select("row.*"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.common import keyed_columns, keyed_texts, map_arrow, merge_spans, packed, stored, text_chunks, unpacked
+from snapcredit.llm.common import as_struct, keyed_columns, keyed_texts, map_arrow, merge_spans, packed, stored, text_chunks, unpacked
 from snapcredit.llm.repeats import (
     SKETCH_BITS,
     by_document,
@@ -243,7 +243,7 @@ def drop_repeated_strings(
     `group` different segments has its suffixes dealt out singly, by a pair of hashes, and counted with
     partial aggregation, so no bucket grows with a hot passage.
 
-    Returns doc_id, the `keep` columns, n_bytes, spans (start and end of each maximal removed run) and
+    Returns doc_id, the `keep` columns (none with a name of the result), n_bytes, spans (start and end of each maximal removed run) and
     kept (bytes; a cut may fall inside a character).
     """
     texts = keyed_texts(docs, doc_id, text)
@@ -251,7 +251,10 @@ def drop_repeated_strings(
     found = with_copies(
         repeated_segments(texts, "bytes", length, anchor, sketch_bits), "copies > 1 or rivals > 1"
     )
-    small = packed(docs.select(*keep, *keyed_columns(doc_id, text)))
+    if clash := {"doc_id", "n_bytes", "spans", "kept"} & set(keep):
+        raise ValueError(f"names of the result cannot be kept: {sorted(clash)}")
+    carried = [as_struct(docs, keep).alias("carried")] if keep else []
+    small = packed(docs.select(*carried, *keyed_columns(doc_id, text)))
     whole = found.where("copies > 1")
 
     cut, schema = _cut(length, id_type)
@@ -274,10 +277,10 @@ def drop_repeated_strings(
         .unionByName(bucketed)
         .unionByName(large.select("doc_id", "text_hash", "start", F.lit(1).alias("n")))
     )
-    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    names = [c for c in small.columns if c == "carried"]
+    kinds = "".join(f", {c} {small.schema[c].dataType.simpleString()}" for c in names)
     apply, schema = _remove(
-        length,
-        f"doc_id {id_type}{carried}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary",
-        keep,
+        length, f"doc_id {id_type}{kinds}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", names
     )
-    return map_arrow(with_rows(small, by_document(spans, "start", "n"), "left"), apply, schema)
+    done = map_arrow(with_rows(small, by_document(spans, "start", "n"), "left"), apply, schema)
+    return done.select("doc_id", *[f"{c}.*" for c in names], "n_bytes", "spans", "kept")
