@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapcredit.operators.ranks import before_slice, slice_cuts, value_counts, within_slice
@@ -244,19 +244,26 @@ def drift_report(
         *([F.coalesce(F.avg("_hit"), F.lit(0.0)).alias("label_ratio")] if prediction else []),
     ).first()
     counted = value_counts(both, slice_cuts(both, features, row["_rows"], slices), COUNTS)
+    return _report(spark, row, counted, features, buckets, bins, row.label_ratio if prediction else None)
+
+
+def _report(
+    spark: SparkSession,
+    row: Row | Mapping[str, object],
+    counted: DataFrame,
+    features: Sequence[str],
+    buckets: int,
+    bins: str,
+    label_ratio: float | None,
+) -> DataFrame:
+    """The report from one row of ranges, totals and moments, and the counts of distinct values."""
+    shared = () if label_ratio is None else (label_ratio,)
     known = spark.createDataFrame(
-        [
-            (f, *[row[f"{f}__{m}"] for m in MOMENTS], *([row.label_ratio] if prediction else []))
-            for f in features
-        ],
-        "feature string, "
-        + ", ".join(f"{m} double" for m in MOMENTS)
-        + (", label_ratio double" if prediction else ""),
+        [(f, *[row[f"{f}__{m}"] for m in MOMENTS], *shared) for f in features],
+        "feature string, " + ", ".join(f"{m} double" for m in MOMENTS) + ", label_ratio double" * len(shared),
     )
     edges = _edges_of(row, features, buckets)
     report = known.join(_psi_of_counts(counted, edges, features, bins), "feature", "left").join(
         _ks_of_counts(counted, row, features), "feature", "left"
     )
-    return report.select(
-        "feature", "psi", "ks", *MOMENTS, *(["label_ratio"] if prediction else [])
-    )
+    return report.select("feature", "psi", "ks", *MOMENTS, *(["label_ratio"] if shared else []))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from snapcredit.functions.dates import snapshot_of
 from snapcredit.operators.aggregates import corr_matrix, top_k
-from snapcredit.operators.encoders import one_hot, string_index
+from snapcredit.operators.correlations import corr_matrix_blocked
+from snapcredit.operators.encoders import extend_dictionary, one_hot, string_index
 from snapcredit.operators.joins import range_join_avg
 from snapcredit.operators.quality import fill_zero
 from snapcredit.operators.scaling import apply_scaler, fit_scaler
@@ -27,6 +28,7 @@ from snapcredit.plans.catalog.base import (
     table,
 )
 from snapcredit.plans.catalog.joining import SHIPMENT_PAIRS, shipments, urgent_starts
+from snapcredit.session import scratch_path
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -40,6 +42,24 @@ def _index_sql(source: str, column: str, key: str) -> str:
     SELECT {key}, {column}, {column}_index FROM {source} JOIN ranked USING ({column})"""
 
 
+@query(
+    "string_index_versioned",
+    f"""WITH {ORDERS_BY_MONTH},
+    counted AS (
+      SELECT o_custkey::VARCHAR AS category, snapshot_date, count(*) AS n FROM orders_by_month GROUP BY 1, 2),
+    first AS (SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY category ORDER BY snapshot_date) = 1)
+    SELECT category, snapshot_date AS first_seen,
+           row_number() OVER (ORDER BY snapshot_date >= DATE '1996-01-01', snapshot_date, n DESC, category) - 1 AS id
+    FROM first""",
+)
+def string_index_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of customers after two loads, the second one of all months: the ids of the first load stand."""
+    orders, path = orders_by_month(spark, sf_dir), scratch_path(spark, "customer_ids")
+    extend_dictionary(spark, path, orders.where(F.col("snapshot_date") < "1996-01-01"), "o_custkey")
+    extend_dictionary(spark, path, orders, "o_custkey")
+    return spark.read.parquet(path)
+
+
 @query("string_index", _index_sql("events", "event_type", "event_id"))
 def string_index_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_index(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_type")
@@ -205,6 +225,25 @@ def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(means, 6, *SCALED)
 
 
+WIDE = {
+    f"m{i}": expr
+    for i, expr in enumerate(
+        [*MEASURES, *[f"{m} * {m}" for m in MEASURES], *[f"CASE WHEN l_orderkey % {k} > 0 THEN {m} END" for k in (3, 5) for m in MEASURES]]
+    )
+}
+
+
+@query(
+    "corr_matrix_blocked",
+    f"WITH wide AS (SELECT {', '.join(f'{e} AS {n}' for n, e in WIDE.items())} FROM lineitem) "
+    + " UNION ALL ".join(f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 6) AS corr FROM wide" for x in WIDE for y in WIDE),
+)
+def corr_matrix_blocked_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen columns, half of them with nulls, in blocks of five."""
+    wide = table(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(n) for n, e in WIDE.items()])
+    return rounded(corr_matrix_blocked(wide, list(WIDE), block=5), 6, "corr")
+
+
 @query(
     "corr_matrix",
     " UNION ALL ".join(

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapcredit.functions.dates import snapshot_of
 from snapcredit.operators.drift import drift_report, ks_two_sample, population_moments, psi
 from snapcredit.operators.evaluation import auc_exact, delayed_auc, gini_by_split
+from snapcredit.operators.profiles import drift_of_profiles, value_profile
 from snapcredit.operators.splits import hash_split
-from snapcredit.plans.catalog.base import LEDGER, query, rounded, table
+from snapcredit.plans.catalog.base import LEDGER, ORACLES, query, rounded, table
 from snapcredit.plans.catalog.features import BUCKET, MEASURES
 from snapcredit.plans.catalog.joining import SUPPLIER_MONTHS, label_store, scored_months
+from snapcredit.session import scratch_path
+from snapcredit.sources.sinks import write_snapshots
 
 
 def populations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -111,6 +115,22 @@ def drift_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("drift_report_profiles", ORACLES["drift_report"])
+def drift_report_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from stored profiles: those of all months of each flag, merged."""
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag",
+        snapshot_of("l_shipdate").alias("snapshot_date"),
+        *MEASURES,
+        (F.col("l_discount") > 0.05).cast("int").alias("prediction"),
+    )
+    path = scratch_path(spark, "profiles")
+    write_snapshots(value_profile(items, MEASURES, ["l_returnflag", "snapshot_date"], "prediction"), path)
+    profiles = spark.read.parquet(path)
+    report = drift_of_profiles(*(profiles.where(F.col("l_returnflag") == flag) for flag in ("A", "R")), MEASURES)
+    return rounded(rounded(rounded(report, 8, "psi", "ks"), 4, *MOMENT_COLUMNS), 6, "label_ratio")
+
+
 # Features with NaN and infinite values, without values on one side, and without any.
 EDGES = {
     "with_nan": ("IF(l_orderkey % 50 = 0, CAST('NaN' AS DOUBLE), l_quantity)", "l_orderkey % 50 <> 0", "l_quantity"),
