@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from snapcredit.operators.joins import asof_latest, delayed_label_join, label_jo
 from snapcredit.operators.quality import quality_counters
 from snapcredit.plans.catalog.base import (
     LEDGER,
+    ORACLES,
     ORDERS_BY_MONTH,
     exact_sum,
     ledger,
@@ -22,6 +25,7 @@ from snapcredit.plans.catalog.base import (
     table,
 )
 from snapcredit.session import scratch_path
+from snapcredit.sources.stores import bucket_count, colocate, write_bucketed
 
 LEDGER_COLUMNS = (
     "loan_id, Customer_ID, snapshot_date, installment_num, due_amt, overdue_amt, mob, "
@@ -104,6 +108,19 @@ def join_inner_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_totals(spark, sf_dir).join(monthly_urgent(spark, sf_dir), keys, "inner")
 
 
+@query("join_colocated", ORACLES["join_inner_composite"])
+def join_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join of two stores bucketed by customer."""
+    colocate(spark)
+    totals, urgent = monthly_totals(spark, sf_dir), monthly_urgent(spark, sf_dir)
+    buckets = bucket_count(totals.count())
+    left, right = (
+        write_bucketed(df, f"{name}_{uuid4().hex}", scratch_path(spark, name), buckets, "o_custkey", ["snapshot_date"])
+        for name, df in (("monthly_totals", totals), ("monthly_urgent", urgent))
+    )
+    return left.join(right, ["o_custkey", "snapshot_date"], "inner")
+
+
 @query(
     "join_left_composite",
     f"""WITH {MONTHLY}

@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Tables bucketed by customer also serve joins on the customer and more columns.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     # HotSpot does not compile methods over 8,000 bytes; a projection of dozens of validated columns
     # exceeds that as one generated method and runs faster as separate ones.

@@ -62,13 +62,19 @@ def load_all(
     fmt: str | None = None,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """All snapshots below one path, or below several."""
+    """All snapshots below one path, or below several, united by column name.
+
+    Each path may be a partitioned table of its own; a column that one lacks is null there.
+    """
     fmt = fmt or detect_format(spark, path)
+    if not isinstance(path, str):
+        frames = [load_all(spark, p, fmt, schema) for p in path]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if fmt == "csv":
         return read_csv(spark, path, schema)
     if fmt == "parquet":
         reader = spark.read.schema(schema) if schema else spark.read
-        return reader.parquet(*([path] if isinstance(path, str) else path))
+        return reader.parquet(path)
     raise ValueError(f"unsupported format {fmt!r}; use one of {FORMATS}")
 
 

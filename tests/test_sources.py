@@ -38,6 +38,16 @@ def test_several_paths(spark, tmp_path):
     assert scans.load_all(spark, paths).count() == 24
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_several_partitioned_paths(spark, tmp_path, fmt):
+    paths = [str(tmp_path / name) for name in "ab"]
+    sinks.write_snapshots(table(spark), paths[0], fmt)
+    sinks.write_snapshots(table(spark).withColumn("more", F.lit(1)), paths[1], fmt)
+    found = scans.load_all(spark, paths)
+    assert found.count() == 24 and found.where("more is null").count() == 12
+    assert rows(found) == sorted(2 * rows(table(spark)))
+
+
 def test_overwrite_replaces_only_its_snapshots(spark, tmp_path):
     path, df = str(tmp_path / "t"), table(spark)
     sinks.write_snapshots(df, path)
