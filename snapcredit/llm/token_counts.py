@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from array import array
 from functools import lru_cache
 from itertools import accumulate
 
@@ -12,13 +13,35 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcredit.llm.bpe import BYTE_PATTERN, Cache, LoadVocabulary, PrefixEncoder, Vocabulary
+from snapcredit.llm.bpe import BYTE_PATTERN, CACHE, Cache, LoadVocabulary, PrefixEncoder, Vocabulary
 from snapcredit.llm.common import map_arrow, text_chunks
+from snapcredit.llm.word_runs import spread
 
 #: How a token that crosses a boundary is allocated.
 RULES = ("majority", "first", "last")
 
 
+class PieceTable(dict):
+    """Numbers of pieces, given on demand, and tables by number: characters, tokens, place of the first token;
+    and by place: first character and that after the last of a token."""
+
+    def __init__(self, pieces: Cache):
+        super().__init__()
+        self.pieces = pieces
+        self.columns = tuple(array("i") for _ in range(5))
+
+    def __missing__(self, piece: str) -> int:
+        size, start, end = self.pieces[piece]
+        sizes, counts, firsts, starts, ends = self.columns
+        firsts.append(len(starts))
+        sizes.append(size)
+        counts.append(len(start) // 4)
+        starts.frombytes(start)
+        ends.frombytes(end)
+        self[piece] = number = len(sizes) - 1
+        return number
+
+
 class OffsetTokenizer:
     """Byte-level encoding of whole texts, with the characters each token covers."""
 
@@ -26,6 +49,7 @@ class OffsetTokenizer:
         self.encoder = PrefixEncoder(vocabulary)
         self.split = regex.compile(BYTE_PATTERN).findall
         self.pieces = Cache(self._piece)
+        self.table = PieceTable(self.pieces)
         self.sizes = {i: len(s) for i, s in self.encoder.spelled.items()}
 
     def _piece(self, piece: str) -> tuple[int, bytes, bytes]:
@@ -42,6 +66,19 @@ class OffsetTokenizer:
         char = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80) - 1
         return len(piece), char[ends - sizes].astype("<i4").tobytes(), (char[ends - 1] + 1).astype("<i4").tobytes()
 
+    def chunk_offsets(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts laid end to end: each piece is looked up once, tokens are taken from tables."""
+        if len(self.table) >= CACHE:
+            self.table = PieceTable(self.pieces)
+        table, split = self.table, self.split
+        found = [piece for text in texts for piece in split(text)]
+        ids = np.fromiter(map(table.__getitem__, found), np.int64, len(found))
+        sizes, counts, firsts, starts, ends = (np.frombuffer(x, np.int32) for x in table.columns)
+        sizes, counts = sizes[ids], counts[ids]
+        base = np.repeat(np.cumsum(sizes, dtype=np.int64) - sizes, counts)
+        at = spread(firsts[ids].astype(np.int64), counts)
+        return base + starts[at], base + ends[at]
+
     def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """First character and that after the last of each token of a text."""
         found = [self.pieces[piece] for piece in self.split(text)]
@@ -66,7 +103,10 @@ def allocate(start: np.ndarray, end: np.ndarray, cuts: np.ndarray, rule: str) ->
     if rule == "last":
         return last
     out = first.copy()
-    for i in np.flatnonzero(first != last):
+    two = np.flatnonzero(last == first + 1)
+    edge = cuts[last[two]]
+    out[two] += end[two] - edge > edge - start[two]
+    for i in np.flatnonzero(last > first + 1):
         edges = np.concatenate([[start[i]], cuts[first[i] + 1 : last[i] + 1], [end[i]]])
         out[i] = first[i] + int(np.argmax(np.diff(edges)))
     return out
@@ -103,27 +143,25 @@ def section_tokens(
     def count(batches):
         tokenizer = _tokenizer(vocabulary_path, load)
         for batch, _, _ in text_chunks(batches):
-            owner, columns = [], [[] for _ in range(5)]
-            for i, body in enumerate(batch.column("text").to_pylist()):
-                sizes = np.array([len(s) + len(separator) for s in body.split(separator)], np.int64)
+            bodies = batch.column("text").to_pylist()
+            lists = [[len(s) + len(separator) for s in body.split(separator)] for body in bodies]
+            for sizes in lists:
                 sizes[-1] -= len(separator)
                 if len(sizes) > 1 and not sizes[-1]:  # nothing behind the last separator
-                    sizes = sizes[:-1]
-                cuts = np.cumsum(sizes) - sizes
-                tokens = crossing = np.zeros(len(cuts), np.int64)
-                if body:
-                    start, end = tokenizer.offsets(body)
-                    section = allocate(start, end, cuts, rule)
-                    tokens = np.bincount(section, minlength=len(cuts))
-                    over = (start < cuts[section]) | (end > (cuts + sizes)[section])
-                    crossing = np.bincount(section[over], minlength=len(cuts))
-                owner.append(np.full(len(cuts), i))
-                for column, values in zip(columns, (np.arange(len(cuts)), cuts, sizes, tokens, crossing), strict=True):
-                    column.append(values)
+                    sizes.pop()
+            n = np.array([len(sizes) for sizes in lists])
+            sizes = np.fromiter((x for own in lists for x in own), np.int64, n.sum())
+            cuts = np.cumsum(sizes) - sizes  # in the texts laid end to end
+            start, end = tokenizer.chunk_offsets(bodies)
+            section = allocate(start, end, cuts, rule)
+            over = (start < cuts[section]) | (end > (cuts + sizes)[section])
+            counts = (np.bincount(x, minlength=len(cuts)) for x in (section, section[over]))
+            head = np.repeat(np.cumsum(n) - n, n)  # the first section of each text
+            number = np.arange(len(cuts)) - head
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(np.concatenate(owner))),
-                    *(pa.array(np.concatenate(c), pa.int64()) for c in columns),
+                    batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), n))),
+                    *(pa.array(c, pa.int64()) for c in (number, cuts - cuts[head], sizes, *counts)),
                 ],
                 ["doc_id", "section", "first_char", "n_chars", "n_tokens", "n_crossing"],
             )
