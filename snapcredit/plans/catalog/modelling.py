@@ -223,7 +223,7 @@ def gbt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
         known.alias("n_named"),
         (F.abs(F.sum("score") - 1) < 1e-9).alias("sum_is_one"),
         (F.max(F.when(F.col("feature") == "constant", F.col("score"))) == 0).alias("constant_is_zero"),
-    ).crossJoin(train.agg(F.count(F.lit(1)).alias("n_rows")))
+    ).withColumn("n_rows", F.lit(train.count()).cast("long"))
 
 
 @query("model_save_load")

@@ -49,7 +49,7 @@ def test_single_partition_only_for_totals(plans):
     assert single <= {
         "nonnull_profile", "describe_profile", "corr_matrix", "corr_matrix_by_suffix", "month_spine",
         "population_moments", "auc_exact", "auc_sliced", "model_champion", "string_index", "string_index_segment",
-        "string_index_large", "logreg_balance",
+        "string_index_large", "logreg_balance", "boosting_prefixes", "gbt_importances", "named_datasets",
     }
 
 
