@@ -31,10 +31,12 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     """int8 codes, the scale of each row, the squared length of the coded row and the length of the error."""
     peak = np.abs(vectors).max(axis=1)
     scale = peak / 127
-    codes = np.rint(vectors / scale[:, None])
+    scale[scale == 0] = 1  # of the smallest numbers: all codes are zero, the error is the vector itself
+    codes = np.clip(np.rint(vectors / scale[:, None]), -127, 127)
     coded = codes * scale[:, None]
-    error = np.sqrt(((vectors - coded) ** 2).sum(axis=1))
-    return codes.astype(np.int8), scale, (coded**2).sum(axis=1), error
+    with np.errstate(over="ignore"):
+        error = np.sqrt(((vectors - coded) ** 2).sum(axis=1))
+        return codes.astype(np.int8), scale, (coded**2).sum(axis=1), error
 
 
 def tile_bounds(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
@@ -42,23 +44,28 @@ def tile_bounds(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
 
     The distance of two vectors differs from that of their coded forms by the sum of their errors at
     most. Products of codes are whole numbers; in floats of 32 bits their sums are exact up to 2 ** 24.
+    Where squares pass the range of doubles there is no bound: such pairs are never ruled out.
     """
     (qa, sa, la, ea), (qb, sb, lb, eb) = a, b
     exact = np.float32 if qa.shape[1] * 127 * 127 < 1 << 24 else np.float64
     product = (qa.astype(exact) @ qb.astype(exact).T).astype(np.float64)
-    squares = la[:, None] + lb[None, :]
-    inner = np.maximum(squares - 2 * (sa[:, None] * sb[None, :]) * product, 0)
-    middle = np.sqrt(inner)
-    slack = ea[:, None] + eb[None, :] + ROUNDING * np.sqrt(squares)
-    return np.maximum(middle - slack, 0), middle + slack
+    with np.errstate(over="ignore", invalid="ignore"):
+        squares = la[:, None] + lb[None, :]
+        inner = np.maximum(squares - 2 * (sa[:, None] * sb[None, :]) * product, 0)
+        middle = np.sqrt(inner)
+        slack = ea[:, None] + eb[None, :] + ROUNDING * np.sqrt(squares)
+        lower, upper = np.maximum(middle - slack, 0), middle + slack
+    bounded = np.isfinite(upper) & np.isfinite(lower)
+    return np.where(bounded, lower, 0), np.where(bounded, upper, np.inf)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distance of each row of a to the same row of b; squares are added in order, as SQL does."""
     total = np.zeros(len(a))
     for k in range(a.shape[1]):
-        step = a[:, k] - b[:, k]
-        total += step * step
+        with np.errstate(over="ignore"):
+            step = a[:, k] - b[:, k]
+            total += step * step
     return np.sqrt(total)
 
 

@@ -81,7 +81,7 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.size(found).cast("long").alias("n_passages"),
         F.array_join(F.array_sort(F.array_distinct(found["licence"])), ",").alias("licence_names"),
-        F.coalesce(F.get(found["line"], F.lit(0)), F.lit(-2)).cast("long").alias("first_line"),
+        F.coalesce(F.array_min(found["line"]), F.lit(-2)).cast("long").alias("first_line"),
         F.coalesce(F.array_max(found["dice"]), F.lit(0.0)).alias("best_dice"),
     )
 
