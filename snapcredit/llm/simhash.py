@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -148,32 +149,47 @@ def roots_of(size: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return root
 
 
-def blocks(fp: Column, budget: int) -> list[Column]:
-    """budget + 1 disjoint stretches of the 64 bits: two fingerprints within the budget agree on one."""
-    edges = [64 * i // (budget + 1) for i in range(budget + 2)]
-    return [
-        F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
+def blocks(fp: Column, budget: int, agreed: int = 1) -> list[Column]:
+    """The 64 bits in budget + agreed disjoint stretches, and of these every choice of `agreed`, end to end: two
+    fingerprints within the budget differ in at most `budget` stretches, so they agree on such a choice."""
+    edges = [64 * i // (budget + agreed) for i in range(budget + agreed + 1)]
+    stretches = [
+        (F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)), b - a)
         for a, b in zip(edges[:-1], edges[1:], strict=True)
     ]
 
+    def joined(chosen: tuple) -> Column:
+        value = chosen[0][0]
+        for bits, width in chosen[1:]:
+            value = F.shiftleft(value, width).bitwiseOR(bits)
+        return value
 
-def fingerprint_links(fps: DataFrame, budget: int = BUDGET, subtree: int = SUBTREE) -> DataFrame:
-    """Links (a, b) that connect all of `fps` (column fp, distinct) within `budget` differing bits.
+    return [joined(chosen) for chosen in combinations(stretches, agreed)]
 
-    The trie is cut below each of budget + 1 blocks of bits: a pair within the budget agrees on one
-    block, so it meets in a subtree of that block. Subtrees of more than `subtree` fingerprints are split
-    in parts, and every pair of parts is walked on its own. A walk returns a spanning forest of the links
-    it found, never all pairs.
-    """
+
+def agreed_blocks(n: int, budget: int, subtree: int) -> int:
+    """Stretches to agree on so that `n` evenly spread fingerprints fill subtrees of at most `subtree`.
+
+    With more stretches a fingerprint stands in more subtrees, five, fifteen, thirty-five, and these are
+    smaller by thousands: so its copies follow the logarithm of n and not n."""
+    agreed = 1
+    while agreed < 4 and n >> (64 * agreed // (budget + agreed)) > subtree:
+        agreed += 1
+    return agreed
+
+
+def dealt_out(fps: DataFrame, budget: int, subtree: int, agreed: int) -> DataFrame:
+    """(fp, walk, part): each fingerprint once for every walk that it takes part in."""
+    choices = blocks(F.col("fp"), budget, agreed)
     keyed = fps.select(
         "fp",
         F.explode(
-            F.array(*(F.struct(F.lit(i).alias("block"), v.alias("bits")) for i, v in enumerate(blocks(F.col("fp"), budget))))
+            F.array(*(F.struct(F.lit(i).alias("block"), v.alias("bits")) for i, v in enumerate(choices)))
         ).alias("node"),
     ).select("fp", "node.*")
     sizes = keyed.groupBy("block", "bits").agg(F.ceil(F.count(F.lit(1)) / subtree).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("fp", "block"), F.col("parts")).cast("int")
-    dealt = (
+    return (
         keyed.join(sizes, ["block", "bits"])
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -185,6 +201,21 @@ def fingerprint_links(fps: DataFrame, budget: int = BUDGET, subtree: int = SUBTR
         )
     )
 
+
+def fingerprint_links(
+    fps: DataFrame, budget: int = BUDGET, subtree: int = SUBTREE, agreed: int | None = None
+) -> DataFrame:
+    """Links (a, b) that connect all of `fps` (column fp, distinct) within `budget` differing bits.
+
+    The trie is cut below each choice of `agreed` stretches of bits: a pair within the budget agrees on one
+    choice, so it meets in a subtree of it. By default their number follows that of the fingerprints.
+    Subtrees of more than `subtree` fingerprints, of which a hot one may still be, are split in parts,
+    and every pair of parts is walked on its own. A walk returns a spanning forest of the links it found,
+    never all pairs.
+    """
+    agreed = agreed or agreed_blocks(fps.count(), budget, subtree)
+    dealt = dealt_out(fps, budget, subtree, agreed)
+
     def walk(batches):
         held: list[pa.RecordBatch] = []
 
