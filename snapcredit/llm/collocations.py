@@ -29,7 +29,7 @@ from snapcredit.llm.word_runs import LOWER, byte_set, joined, runs, texts_of, wi
 
 CHUNK = 1 << 20
 #: Bytes of dictionary that a task works on at once.
-PART = 1 << 22
+PART = 1 << 21
 DELIMITER = byte_set((0x0A, 0x0D)) | np.isin(np.arange(256), list(b".,;:!?"))
 BLANK = byte_set((0x20, 0x20), (0x09, 0x09))
 #: Bits of a bitmap per entry, and its smallest and largest size as powers of two (128 KB and 128 MB).
