@@ -49,7 +49,7 @@ def labelled_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: What is stored once per session and folder: the splits, and the models fitted on them.
-_stored: dict[tuple[str, ...], object] = {}
+_stored: dict[tuple[object, ...], object] = {}
 
 
 def sets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -101,8 +101,8 @@ SPLITS = f"""WITH {LEDGER},
 N_TRIALS = 100
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
-    """What `make` gives, kept for the other queries of the session on the same tables."""
+def _once(spark: SparkSession, sf_dir: str, name: object, make: Callable[[], object]) -> object:
+    """What `make` gives, kept under a name for the other queries of the session on the same tables."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         _stored[key] = make()
@@ -124,13 +124,13 @@ def _crossed(spark: SparkSession, sf_dir: str, n_trials: int) -> SearchResult:
 @query("random_search")
 def random_search_query(spark: SparkSession, sf_dir: str, n_trials: int = N_TRIALS) -> DataFrame:
     """Trials from the declared space; metrics of the winner on all sets."""
-    found = _once(spark, sf_dir, f"random {n_trials}", lambda: _random(spark, sf_dir, n_trials))
+    found = _once(spark, sf_dir, (random_search, n_trials), lambda: _random(spark, sf_dir, n_trials))
     return spark.createDataFrame(sorted(found.metrics.items()), "metric string, value double")
 
 
 @query("cv_search")
 def cv_search_query(spark: SparkSession, sf_dir: str, n_trials: int = N_TRIALS) -> DataFrame:
-    found = _once(spark, sf_dir, f"crossed {n_trials}", lambda: _crossed(spark, sf_dir, n_trials))
+    found = _once(spark, sf_dir, (cv_search, n_trials), lambda: _crossed(spark, sf_dir, n_trials))
     rows = [(i, t["cv_auc"]) for i, t in enumerate(found.trials)]
     return spark.createDataFrame(rows, "trial int, cv_auc double")
 
@@ -162,7 +162,7 @@ def _search_facts(
 )
 def random_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sets and trials of the random search."""
-    found = _once(spark, sf_dir, f"random {N_TRIALS}", lambda: _random(spark, sf_dir, N_TRIALS))
+    found = _once(spark, sf_dir, (random_search, N_TRIALS), lambda: _random(spark, sf_dir, N_TRIALS))
     data = sets(spark, sf_dir)
     used = data["training"].unionByName(data["validation"])
     return _search_facts(spark, found, sample_space(GBT_SPACE, N_TRIALS), GBT_SPACE, "val_auc", used)
@@ -176,7 +176,7 @@ def random_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cv_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The set and the trials of the cross-validated search, all different."""
-    found = _once(spark, sf_dir, f"crossed {N_TRIALS}", lambda: _crossed(spark, sf_dir, N_TRIALS))
+    found = _once(spark, sf_dir, (cv_search, N_TRIALS), lambda: _crossed(spark, sf_dir, N_TRIALS))
     grid = sample_space(CV_GBT_SPACE, N_TRIALS, distinct=True)
     facts = _search_facts(spark, found, grid, CV_GBT_SPACE, "cv_auc", sets(spark, sf_dir)["training"])
     return facts.withColumn("n_distinct", F.lit(len({tuple(sorted(p.items())) for p in grid})))
