@@ -34,7 +34,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: five-word shingles, Jaccard similarity 0.8 or more."""
+    """One document of each component of near copies: five-word shingles, Jaccard similarity 0.8 or more.
+
+    Candidates are SimHash fingerprints within four bits, then MinHash bands; the similarity itself decides."""
     return keep_one(docs, near_copies).select(COLUMNS)
 
 

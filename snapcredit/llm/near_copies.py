@@ -1,4 +1,7 @@
-"""Near copies by Jaccard similarity of word shingles: MinHash bands pick candidates, each link is measured exactly."""
+"""Near copies by Jaccard similarity of word shingles, each link measured exactly.
+
+SimHash fingerprints within a few bits, found by the walks of `simhash`, are candidates; MinHash bands add the
+pairs of the similarity that differ in more bits."""
 
 from __future__ import annotations
 
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from snapcredit.llm.common import checkpointed, keyed_texts, map_arrow, ship, text_chunks
 from snapcredit.llm.components import connected_components
 from snapcredit.llm.rolling import mix
-from snapcredit.llm.simhash import component_ids
+from snapcredit.llm.simhash import BUDGET, component_ids, fingerprint_links, folded, shingle_digests
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -22,14 +25,14 @@ BANDS, ROWS = 25, 5
 PART_TEXTS, PART_BYTES = 512, 1 << 20
 
 
+def distinct_hashes(digests: np.ndarray) -> np.ndarray:
+    """The distinct ones of `simhash.shingle_digests`, sorted."""
+    return np.unique(digests.view(np.uint64).ravel())
+
+
 def shingle_hashes(text: bytes, shingle: int, seed: int) -> np.ndarray:
     """XXH64 of the distinct shingles of a text in UTF-8, sorted; words and short texts as in `simhash.fingerprint`."""
-    words = text.lower().split()
-    width = min(shingle, len(words))
-    if not width:
-        return np.empty(0, np.uint64)
-    grams = map(b" ".join, zip(*(words[k : len(words) - width + 1 + k] for k in range(width)), strict=True))
-    return np.unique(np.frombuffer(b"".join([xxhash.xxh64_digest(g, seed) for g in grams]), np.uint64))
+    return distinct_hashes(shingle_digests(text, shingle, seed))
 
 
 def band_hashes(sets: list[np.ndarray], bands: int, rows: int, seed: int) -> np.ndarray:
@@ -49,12 +52,16 @@ def band_hashes(sets: list[np.ndarray], bands: int, rows: int, seed: int) -> np.
 
 
 def signatures(texts: DataFrame, shingle: int, seed: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, text_hash, fp (hash of the set of shingles), n_bytes and bands of each row of `keyed_texts`."""
+    """doc_id, text_hash, fp (hash of the set of shingles), n_bytes, SimHash and bands of each row of `keyed_texts`."""
 
     def sign(batches):
         for batch, raw, lengths in text_chunks(batches):
             ends, data = np.cumsum(lengths), raw.tobytes()
-            sets = [shingle_hashes(data[e - n : e], shingle, seed) for e, n in zip(ends, lengths, strict=True)]
+            sets, sims = [], []
+            for e, n in zip(ends, lengths, strict=True):
+                digests = shingle_digests(data[e - n : e], shingle, seed)
+                sets.append(distinct_hashes(digests))
+                sims.append(folded(digests))
             some = [i for i, s in enumerate(sets) if len(s)]
             found: list[list[int]] = [[] for _ in sets]
             if some:
@@ -66,12 +73,13 @@ def signatures(texts: DataFrame, shingle: int, seed: int, bands: int, rows: int)
                 batch.column("text_hash"),
                 pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)),
                 pa.array(lengths.astype(np.int64)),
+                pa.array(np.array(sims, np.uint64).view(np.int64)),
                 pa.array(found, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp", "n_bytes", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp", "n_bytes", "sim", "bands"])
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    return map_arrow(texts, sign, f"doc_id {id_type}, text_hash int, fp long, n_bytes long, bands array<long>")
+    return map_arrow(texts, sign, f"doc_id {id_type}, text_hash int, fp long, n_bytes long, sim long, bands array<long>")
 
 
 def linked_sets(
@@ -137,20 +145,27 @@ def near_copies(
     bands: int = BANDS,
     rows: int = ROWS,
     part_texts: int = PART_TEXTS,
+    budget: int = BUDGET,
 ) -> DataFrame:
     """Component of each document among those whose shingle sets have at least the Jaccard similarity.
 
     Words, shingles and short texts are those of `simhash.near_duplicates`; texts without words are copies
     of each other. A link is only made where the exact similarity of two sets is high enough; pairs are
-    looked for in the components that shared MinHash bands make, whose texts are shuffled once. A
+    looked for among SimHash fingerprints that links of at most `budget` bits connect and in shared MinHash
+    bands. The components that both make are looked through, whose texts are shuffled once. A
     component of more than `part_texts` texts (or PART_BYTES) is dealt out in pairs of parts.
 
     Returns the columns of `simhash.near_duplicates` for each row of `docs`, fp being a hash of the set.
     """
     texts = keyed_texts(docs, doc_id, text)
     signed = checkpointed(signatures(texts, shingle, seed, bands, rows))
-    one = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash", "n_bytes", "bands"))
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash", "n_bytes", "sim", "bands"))
     classes = checkpointed(signed.groupBy("fp").agg(one.alias("one")).select("fp", "one.*"))
+    alike = connected_components(fingerprint_links(classes.select(F.col("sim").alias("fp")).distinct(), budget), "a", "b")
+    # What SimHash connects shares one more band.
+    band = F.xxhash64(F.coalesce("root", "sim"))
+    classes = classes.join(alike, classes["sim"] == alike["node"], "left").withColumn("bands", F.array_append("bands", band))
+    classes = checkpointed(classes.drop("node", "root", "sim"))
     banded = classes.select("fp", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("fp").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     meeting = banded.join(hubs, "band").where("fp <> hub").select("fp", "hub").distinct()

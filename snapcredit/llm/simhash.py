@@ -34,20 +34,31 @@ def byte_lanes() -> np.ndarray:
 LANES = byte_lanes()
 
 
-def fingerprint(text: bytes, shingle: int, seed: int) -> int:
-    """SimHash of a text in UTF-8, as an unsigned number."""
+def shingle_digests(text: bytes, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of every shingle of a text in UTF-8, repeats included, as rows of eight bytes, highest first."""
     words = text.lower().split()  # bytes: A-Z only, and just the ASCII blanks
-    if not words:
-        return 0
     width = min(shingle, len(words))
+    if not width:
+        return np.empty((0, 8), np.uint8)
     grams = map(b" ".join, zip(*(words[k : len(words) - width + 1 + k] for k in range(width)), strict=True))
-    digests = np.frombuffer(b"".join([xxhash.xxh64_digest(g, seed) for g in grams]), np.uint8).reshape(-1, 8)
+    return np.frombuffer(b"".join([xxhash.xxh64_digest(g, seed) for g in grams]), np.uint8).reshape(-1, 8)
+
+
+def folded(digests: np.ndarray) -> int:
+    """SimHash of the digests of a text, as an unsigned number; zero of none."""
+    if not len(digests):
+        return 0
     # A lane counts to 255 at most before it is taken out.
     lanes = np.add.reduceat(LANES[digests], np.arange(0, len(digests), 255), axis=0)
     ones = lanes.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(digests)).tobytes(), "big")
 
 
+def fingerprint(text: bytes, shingle: int, seed: int) -> int:
+    """SimHash of a text in UTF-8, as an unsigned number."""
+    return folded(shingle_digests(text, shingle, seed))
+
+
 def fingerprints(texts: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """doc_id, text_hash and the fingerprint (as a signed long) of each row of `keyed_texts`."""
 

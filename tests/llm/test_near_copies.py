@@ -55,3 +55,14 @@ def test_stage_drops_copies_of_similarity_above_0_8(spark):
 def test_sample(spark, sf_dir, documents):
     got = {r.doc_id: r.component_id for r in near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
     assert [got[d] for d, _ in documents] == components(documents)
+
+
+def test_simhash_finds_pairs(spark):
+    """Without any MinHash band the fingerprints alone find copies within four bits; the similarity still decides."""
+    words = [[f"w{(k * 7_919 + i * 104_729) % 5_003}" for i in range(400)] for k in range(6)]
+    rows = [(2 * k, " ".join(own)) for k, own in enumerate(words)]
+    rows += [(2 * k + 1, " ".join([*own[:-1], "changed"])) for k, own in enumerate(words)]
+    short = "a b c d e f g"
+    rows += [(100, short), (101, short + " h i j k l m n o p q r s t u v w x y z")]
+    got = near_copies(spark.createDataFrame(rows, "doc_id long, text string"), bands=0).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(zip((d for d, _ in rows), components(rows), strict=True))
