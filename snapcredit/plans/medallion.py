@@ -45,6 +45,7 @@ from snapcredit.operators.quality import (
 )
 from snapcredit.operators.splits import require_history, training_sets
 from snapcredit.plans import credit_tables as tables
+from snapcredit.session import compiled_projections
 from snapcredit.sources.changes import backfill_changed
 from snapcredit.sources.scans import load_datasets, read_csv
 from snapcredit.sources.sinks import merge_metrics_log, read_metrics_log, write_snapshots
@@ -126,6 +127,7 @@ def silver(df: DataFrame, table: str, gated: bool = True) -> DataFrame:
     """Bronze rows of a table, typed and cleaned."""
     if table not in CLEANERS:
         raise ValueError(f"unknown table {table!r}; one of {sorted(CLEANERS)}")
+    compiled_projections(df.sparkSession)
     return CLEANERS[table](typed(df, table, gated))
 
 

@@ -23,6 +23,20 @@ RUNTIME_CONF = {
 }
 
 
+HUGE_METHODS = ("spark.sql.codegen.hugeMethodLimit", "65535", RUNTIME_CONF["spark.sql.codegen.hugeMethodLimit"])
+
+
+def compiled_projections(spark: SparkSession) -> None:
+    """Let projections of dozens of columns run as compiled methods; sessions of `build_session` do.
+
+    Spark's own default lets them run as one method that HotSpot only interprets. A limit that the
+    session was given stays.
+    """
+    name, default, limit = HUGE_METHODS
+    if spark.conf.get(name, default) == default:
+        spark.conf.set(name, limit)
+
+
 def build_session(app: str = "snapcredit", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; keyword names use ``__`` for the dots of a setting."""
     builder = SparkSession.builder.appName(app)

@@ -227,3 +227,19 @@ def test_monitoring_an_empty_month(spark, gold, trained, tmp_path):
     m.monitor(spark.read.parquet(path), training, gold["labels"], None, "2023-04-01", log)
     rows = m.metrics_log(spark, log).collect()
     assert rows and all(r.label_ratio == 0 and r.psi is None for r in rows)
+
+
+def test_silver_projections_are_compiled(spark):
+    """Cleaning 20 columns in one generated method is too large for HotSpot unless the session limits methods."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    held = spark.conf.get(name)
+    raw = spark.createDataFrame([("c", "2023-01-01", *["1"] * 20)], ["Customer_ID", "snapshot_date", *tables.CLICK_MEASURES])
+    try:
+        spark.conf.set(name, "65535")  # the default of a session that was made elsewhere
+        m.silver(raw, "clickstream_data")
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "9000")
+        m.silver(raw, "clickstream_data")
+        assert spark.conf.get(name) == "9000"
+    finally:
+        spark.conf.set(name, held)
