@@ -31,8 +31,9 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         after = checkpointed(
             small.select(F.col("e.x").alias("node"), F.col("e.m").alias("root")).where("node <> root").distinct()
         )
-        # Done when every link already is a star: nothing moved.
-        moved = after.exceptAll(edges).limit(1).count() + edges.exceptAll(after).limit(1).count()
+        # Done when every link already is a star: nothing moved, so each link stands in both tables.
+        sides = after.select("*", F.lit(1).alias("new")).union(edges.select("*", F.lit(-1).alias("new")))
+        moved = checkpointed(sides.groupBy("node", "root").agg(F.sum("new").alias("new")).where("new <> 0").limit(1))
         edges = after
-        if not moved:
+        if moved.isEmpty():
             return edges
