@@ -102,4 +102,8 @@ def stored_snapshots(spark: SparkSession, df: DataFrame, name: str) -> DataFrame
 )
 def feature_store_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     attributes, financials, clicks, _ = silver_tables(spark, sf_dir)
+    # The join takes the clicks several times; cleaned once, they are read from where silver tables lie.
+    path = scratch_path(spark, "clicks")
+    clicks.write.parquet(path)
+    clicks = spark.read.parquet(path)
     return doubles(asof_feature_tables(clicks, attributes, financials), *MONEY, "Credit_Utilization_Ratio")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from snapcredit.plans import credit_tables as tables
 from snapcredit.plans import feature_state, medallion
+from snapcredit.plans.catalog import QUERIES
 from snapcredit.sources.sinks import write_snapshots
 
 MONTHS = [dt.date(2023, m, 1) for m in range(1, 9)]
@@ -100,3 +101,8 @@ def test_without_loans_or_clicks(spark, silver, tmp_path):
             feature_state.fold(spark, root, month, month, *frames)
         early = [df.where(F.col("snapshot_date") <= MONTHS[1]) for df in frames]
         assert rows(feature_state.read_features(spark, root)) == rows(medallion.gold_features(*early))
+
+
+def test_asof_store_cleans_the_clicks_once(spark, sf_dir):
+    files = QUERIES["feature_store_asof"](spark, sf_dir).inputFiles()
+    assert files and not [f for f in files if "lineitem" in f]
