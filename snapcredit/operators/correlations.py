@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
@@ -35,7 +36,7 @@ def corr_matrix_blocked(df: DataFrame, columns: Sequence[str], block: int = BLOC
 
     Each pair uses the rows in which both values are present, as `corr_matrix` does; a pair without two
     such rows that differ in both columns is null. The plan does not grow with the pairs: one
-    aggregation for the means, and one pass over the rows per pair of blocks of columns. A NaN or
+    aggregation for the means, and one pass over the rows per pair of different blocks of columns. A NaN or
     infinite value takes the place of a null.
     """
     finite = [F.col(f"`{c}`").cast("double") for c in columns]
@@ -45,20 +46,19 @@ def corr_matrix_blocked(df: DataFrame, columns: Sequence[str], block: int = BLOC
     means = {n: row[n] or 0.0 for n in names}
     blocks = [names[i : i + block] for i in range(0, len(names), block)]
     found = np.full((len(names), len(names)), np.nan)
-    for i, left in enumerate(blocks):
-        for right in blocks[i:]:
-            both = left if right is left else [*left, *right]
-            size = len(both)
-            gram = _gram(values, means, both)
-            v, s, p = (slice(k * size, (k + 1) * size) for k in range(3))
-            n, sums, squares, products = gram[p, p], gram[v, p], gram[s, p], gram[v, v]
-            with np.errstate(invalid="ignore", divide="ignore"):
-                spread = squares - sums * sums / n
-                # What is left of a constant by rounding is none.
-                spread = np.where(spread > 1e-12 * squares, spread, np.nan)
-                corr = (products - sums * sums.T / n) / np.sqrt(spread * spread.T)
-            at = [names.index(c) for c in both]
-            found[np.ix_(at, at)] = np.where(n > 1, corr, np.nan)
+    # Two blocks bring the pairs inside each of them, too; only a single block is taken alone.
+    for both in [[*a, *b] for a, b in combinations(blocks, 2)] or blocks:
+        size = len(both)
+        gram = _gram(values, means, both)
+        v, s, p = (slice(k * size, (k + 1) * size) for k in range(3))
+        n, sums, squares, products = gram[p, p], gram[v, p], gram[s, p], gram[v, v]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            spread = squares - sums * sums / n
+            # What is left of a constant by rounding is none.
+            spread = np.where(spread > 1e-12 * squares, spread, np.nan)
+            corr = (products - sums * sums.T / n) / np.sqrt(spread * spread.T)
+        at = [names.index(c) for c in both]
+        found[np.ix_(at, at)] = np.where(n > 1, corr, np.nan)
     cells = [
         (x, y, None if np.isnan(found[i, j]) else float(found[i, j]))
         for i, x in enumerate(columns) for j, y in enumerate(columns)

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapcredit.operators.aggregates import corr_matrix
+from snapcredit.operators import correlations
 from snapcredit.operators.correlations import corr_matrix_blocked
 from snapcredit.operators.drift import drift_report
 from snapcredit.operators.encoders import extend_dictionary, versioned_index
@@ -127,3 +128,13 @@ def test_empty_dictionary(spark, tmp_path):
     assert extend_dictionary(spark, str(tmp_path / "d"), empty, "v") == 0
     one = spark.createDataFrame([(D(2023, 1, 1), 5)], "snapshot_date date, v int")
     assert extend_dictionary(spark, str(tmp_path / "d"), one, "v") == 1
+
+
+def test_blocks_take_no_pass_of_their_own(spark, monkeypatch):
+    passes, gram = [], correlations._gram
+    monkeypatch.setattr(correlations, "_gram", lambda df, means, columns: passes.append(columns) or gram(df, means, columns))
+    df = spark.range(50).selectExpr(*[f"cast(id * id % {k} as double) as x{k}" for k in (3, 5, 7, 11, 13)])
+    got = {(r.x, r.y): r["corr"] for r in corr_matrix_blocked(df, df.columns, block=2).collect()}
+    assert len(passes) == 3
+    expected = {(r.x, r.y): r["corr"] for r in corr_matrix(df, df.columns).collect()}
+    assert set(got) == set(expected) and all(got[k] == pytest.approx(expected[k], abs=1e-9) for k in got)
